@@ -13,9 +13,13 @@ from opslake.functions import text as tx
 
 
 def _unfold(documents: DataFrame, chunks: Column) -> DataFrame:
-    """One row per chunk, with the number of chunks of its document."""
+    """One row per chunk, with the number of chunks of its document.
+
+    The outer form keeps the optimizer from adding a filter that would cut every text a second time.
+    """
     return documents.select("doc_id", chunks.alias("_c")).select(
-        "doc_id", F.size("_c").alias("n_chunks"), F.posexplode("_c").alias("chunk_index", "text"))
+        "doc_id", F.size("_c").alias("n_chunks"), F.posexplode_outer("_c").alias("chunk_index", "text")
+    ).where(F.col("chunk_index").isNotNull())
 
 
 def chunk_words(documents: DataFrame, size: int = 128, overlap: int = 32, min_words: int = 1) -> DataFrame:
@@ -45,7 +49,7 @@ def chunk_chars(documents: DataFrame, size: int = 500, overlap: int = 50) -> Dat
 
 
 def split_sentences(documents: DataFrame) -> DataFrame:
-    parts = F.filter(F.transform(F.split("text", r"\."), F.trim), lambda s: s != "")
+    parts = F.filter(F.transform(F.split("text", r"\."), lambda s: F.trim(s)), lambda s: s != "")
     return _unfold(documents, parts)
 
 

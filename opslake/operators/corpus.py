@@ -84,7 +84,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def distinct_counts(corpus: DataFrame) -> DataFrame:
     """Distinct urls, names and lower-cased words. Words are made distinct per document first."""
     columns = corpus.agg(F.countDistinct("url").alias("urls"), F.countDistinct("name").alias("names"))
-    found = corpus.select(F.explode(F.array_distinct(tx.words(F.lower("text")))).alias("w"))
+    found = corpus.select(F.explode_outer(F.array_distinct(tx.words(F.lower("text")))).alias("w"))
     return columns.withColumn("words", found.agg(F.countDistinct("w")).scalar())
 
 
@@ -121,7 +121,8 @@ def unique_words(corpus: DataFrame) -> DataFrame:
 
 def build_vocab(corpus: DataFrame, min_count: int = 10, size: int = 100_000, drop_pieces: bool = True) -> DataFrame:
     """Frequent words behind the special tokens, numbered from 0; ties go by the word."""
-    counts = corpus.select(F.explode(tx.words(F.lower("text"))).alias("token")).groupBy("token").agg(
+    counts = corpus.select(F.explode_outer(tx.words(F.lower("text"))).alias("token")).where(
+        F.col("token").isNotNull()).groupBy("token").agg(
         F.count(F.lit(1)).alias("frequency")).where(F.col("frequency") >= min_count)
     if drop_pieces:
         counts = counts.where(~F.col("token").contains("##"))
@@ -137,7 +138,8 @@ def build_vocab(corpus: DataFrame, min_count: int = 10, size: int = 100_000, dro
 
 
 def vocabulary(corpus: DataFrame) -> DataFrame:
-    return corpus.select(F.explode(F.array_distinct(tx.words(F.lower("text")))).alias("token")).distinct()
+    return corpus.select(F.explode_outer(F.array_distinct(tx.words(F.lower("text")))).alias("token")).where(
+        F.col("token").isNotNull()).distinct()
 
 
 def vocab_diff(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -36,7 +36,8 @@ def keyword_search(corpus: DataFrame, queries: DataFrame, key: str = "doc_id",
     rows = F.array(*[F.struct(F.lit(r.query_id).cast(kind).alias("query_id"), F.lit(r.query).alias("query"),
                               F.lower(F.lit(r.query)).alias("needle")) for r in few])
     found = F.filter(rows, lambda q: F.col("_low").contains(q["needle"]))
-    hits = corpus.withColumn("_low", F.lower("text")).select(*corpus.columns, F.explode(found).alias("_q"))
+    hits = corpus.withColumn("_low", F.lower("text")).select(
+        *corpus.columns, F.explode_outer(found).alias("_q")).where(F.col("_q").isNotNull())
     return hits.select("_q.query_id", "_q.query", *corpus.columns)
 
 
@@ -62,7 +63,7 @@ def _search_by_grams(corpus: DataFrame, queries: DataFrame, key: str) -> DataFra
     query_grams = F.when(F.length("_needle") >= GRAM, _grams(F.col("_needle"))).otherwise(F.array("_needle"))
     wanted = asked.select("query_id", "query", "_needle", F.explode(query_grams).alias("gram"))
     held = corpus.select(F.col(key), F.lower("text").alias("_low")).select(
-        key, F.explode(text_grams).alias("gram")).join(wanted.select("gram").distinct(), "gram", "left_semi")
+        key, F.explode_outer(text_grams).alias("gram")).join(wanted.select("gram").distinct(), "gram", "left_semi")
     frequency = held.groupBy("gram").agg(F.count(F.lit(1)).alias("_documents"))
     rarest = distinct_on(wanted.join(frequency, "gram"), ["query_id", "query"], [F.col("_documents"), F.col("gram")])
     pairs = held.join(rarest.select("gram", "query_id", "query", "_needle"), "gram").drop("gram")
@@ -100,7 +101,7 @@ def hybrid_search(queries: DataFrame, corpus: DataFrame, k: int = 20, threshold:
         words = top_per_key(words, ["query_id"], [F.col("doc_id")], keyword_limit)
     by_word = words.select("query_id", "doc_id", "url", "name", "text", F.lit(0).alias("part"),
                            F.col("doc_id").cast("double").alias("place"))
-    distinct_texts = corpus.select("doc_id", "text", "vector")
+    distinct_texts = corpus.where(F.col("vector").isNotNull()).select("doc_id", "text", "vector")
     near = nearest(queries.select("query_id", "vector"),
                    first_texts(distinct_texts).select(F.col("doc_id").alias("id"), "vector"), k, threshold=threshold)
     by_vector = near.join(plain, near["id"] == plain["doc_id"]).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opslake.plans import catalog, telemetry  # noqa: F401
+from opslake.plans import catalog, corpus, search, telemetry  # noqa: F401
 
 
 def queries():

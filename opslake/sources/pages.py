@@ -103,11 +103,11 @@ def extract_paragraphs(pages: DataFrame, selector: Selector = ARTICLE, min_chars
         return pd.DataFrame([read_page(h, selector) for h in html], columns=["title", "paragraphs"])
 
     read_once = pages.select("page_id", "url", read("html").alias("_page"))
-    cleaned = F.transform("_page.paragraphs", tx.clean_whitespace)
+    cleaned = F.transform("_page.paragraphs", lambda p: tx.clean_whitespace(p))
     kept = F.array_distinct(F.filter(cleaned, lambda p: F.length(p) >= min_chars))
     return read_once.select(
         "page_id", "url", tx.clean_whitespace(F.col("_page.title")).alias("title"),
-        F.posexplode(kept).alias("pos", "text"))
+        F.posexplode_outer(kept).alias("pos", "text")).where(F.col("pos").isNotNull())
 
 
 def first_section(pages: DataFrame, containers: list[Selector]) -> DataFrame:
@@ -125,7 +125,7 @@ def first_section(pages: DataFrame, containers: list[Selector]) -> DataFrame:
         return html.map(first)
 
     read_once = pages.select("page_id", "url", lines("html").alias("_l"))
-    kept = F.array_distinct(F.transform("_l", tx.clean_whitespace))
+    kept = F.array_distinct(F.transform("_l", lambda p: tx.clean_whitespace(p)))
     return read_once.select("page_id", "url", kept.alias("_l")).where(F.size("_l") > 0).select(
         "page_id", "url", F.get("_l", F.lit(0)).alias("document_name"), F.get("_l", F.lit(1)).alias("document_type"),
         F.posexplode("_l").alias("pos", "text"))

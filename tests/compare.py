@@ -42,7 +42,9 @@ def compare(spark, con, key, build, sql, sf_dir):
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} / {sorted(columns)}"
     if len(got) != len(want):
-        return f"{len(got)} rows / {len(want)} expected; only here {[r for r in got if r not in set(want)][:2]}; only there {[r for r in want if r not in set(got)][:2]}"
+        mine, theirs = set(got), set(want)
+        return (f"{len(got)} rows / {len(want)} expected; only here {[r for r in mine if r not in theirs][:2]}; "
+                f"only there {[r for r in theirs if r not in mine][:2]}")[:1500]
     if not got:
         return "no rows"
     off = [(g, w) for g, w in zip(got, want) if g != w]
