@@ -86,8 +86,8 @@ def run_available(df: DataFrame, path: str, checkpoint: str, **options) -> Strea
 
 
 def for_each_batch(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
-                   available_now: bool = True, trigger: str = TRIGGER) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+                   available_now: bool = True, trigger: str = TRIGGER, mode: str = "append") -> StreamingQuery:
+    writer = df.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
     query = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
     if available_now:
         query.awaitTermination()
