@@ -374,8 +374,8 @@ def _(spark, sf):
            max(turn) AS last_turn FROM messages GROUP BY 1""", "messages"))
 def _(spark, sf):
     lines, path = shared_dir(spark, "chat"), shared_dir(spark, "history")
-    kind = "session_id string, turn bigint, role string, content string"
-    src.messages(spark, sf).select("session_id", "turn", "role", "content").write.json(lines)
+    kind = "session_id string, turn bigint, role string, content string, created_at timestamp"
+    src.messages(spark, sf).select("session_id", "turn", "role", "content", "created_at").write.json(lines)
     history = st.session_history(spark.readStream.schema(kind).json(lines), keep=3)
     st.for_each_batch(history, f"{path}-ckpt", lambda b, i: b.write.mode("append").parquet(path), mode="update")
     rows = spark.read.schema("session_id string, messages bigint, first_turn bigint, last_turn bigint").parquet(path)

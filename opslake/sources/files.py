@@ -98,8 +98,7 @@ def file_number(name: Column) -> Column:
 
 def read_text_tree(spark: SparkSession, root: str, pattern: str = "*.{md,txt}") -> DataFrame:
     """(source, text) of every text file below a folder, the source relative to it."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option(
-        "pathGlobFilter", pattern).text(root)
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return files.select(F.substring_index(path, f"{base}/", -1).alias("source"), F.col("value").alias("text"))

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from opslake import schemas
 from opslake.operators import marts, scoring, telemetry as tel
@@ -163,55 +164,44 @@ def late_rows(query: StreamingQuery) -> int:
 def session_history(messages: DataFrame, keep: int = 50, idle_seconds: int = 3600) -> DataFrame:
     """Last messages per session on a stream; a session is forgotten after the idle limit.
 
-    State holds at most ``keep`` messages per session, so a hot session costs no more than that.
+    Idle time is event time (``created_at``), so a replay forgets the same sessions. State holds at
+    most ``keep`` messages per session, so a hot session costs no more than that.
     """
-    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-    class History(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.rows = handle.getValueState("rows", "body string", ttlDurationMs=idle_seconds * 1000)
-
-        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            stored = json.loads(self.rows.get()[0]) if self.rows.exists() else []
-            for frame in rows:
-                fresh = frame.sort_values("turn").tail(keep)
-                stored.extend([int(t), r, c] for t, r, c in zip(fresh["turn"], fresh["role"], fresh["content"]))
-                stored = sorted(stored)[-keep:]
-            self.rows.update((json.dumps(stored),))
-            yield pd.DataFrame({"session_id": [key[0]], "messages": [len(stored)], "first_turn": [stored[0][0]],
-                                "last_turn": [stored[-1][0]], "history": [json.dumps(stored, ensure_ascii=False)]})
-
-        def close(self) -> None:
-            pass
-
-    return messages.groupBy("session_id").transformWithStateInPandas(
-        History(), "session_id string, messages long, first_turn long, last_turn long, history string",
-        outputMode="Update", timeMode="ProcessingTime")
+    def remember(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        stored, last = json.loads(state.get[0]) if state.exists else ([], 0)
+        for frame in frames:
+            last = max(last, int(frame["created_at"].max().timestamp() * 1000))
+            fresh = frame.sort_values("turn").tail(keep)
+            stored.extend([int(t), r, c] for t, r, c in zip(fresh["turn"], fresh["role"], fresh["content"]))
+            stored = sorted(stored)[-keep:]
+        body = json.dumps(stored, ensure_ascii=False)
+        state.update((json.dumps([stored, last], ensure_ascii=False),))
+        state.setTimeoutTimestamp(max(last + idle_seconds * 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"session_id": [key[0]], "messages": [len(stored)], "first_turn": [stored[0][0]],
+                            "last_turn": [stored[-1][0]], "history": [body]})
+
+    return messages.withWatermark("created_at", WATERMARK).groupBy("session_id").applyInPandasWithState(
+        remember, "session_id string, messages long, first_turn long, last_turn long, history string", "body string",
+        "Update", GroupStateTimeout.EventTimeTimeout)
 
 
 def consecutive_breaches(stream: DataFrame, metric: str = "temperature", limit: float = 95.0, k: int = 3) -> DataFrame:
     """Streaming form of the consecutive-breach match: state is the length of the current run."""
-    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-    class Runs(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.run = handle.getValueState("run", "length long")
-
-        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            # Batches of one key arrive in any order, so the rows of a micro-batch are ordered here.
-            frame = pd.concat(list(rows)).sort_values(["event_time", "event_id"])
-            before = int(self.run.get()[0]) if self.run.exists() else 0
-            breach = frame[metric] > limit
-            block = (~breach).cumsum()
-            length = breach.groupby(block).cumsum()
-            length = length + before * ((block == 0) & breach)
-            self.run.update((int(length.iloc[-1]),))
-            found = frame.assign(device_id=key[0], run_length=length)[length >= k]
-            yield found[["event_id", "device_id", "event_time", metric, "run_length"]]
-
-        def close(self) -> None:
-            pass
-
-    return stream.groupBy("device_id").transformWithStateInPandas(
-        Runs(), f"event_id long, device_id string, event_time timestamp, {metric} double, run_length long",
-        outputMode="Append", timeMode="None")
+    columns = ["event_id", "device_id", "event_time", metric, "run_length"]
+
+    def follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # The rows of a micro-batch come in any order, so they are ordered before the run goes on.
+        frame = pd.concat(list(frames)).sort_values(["event_time", "event_id"])
+        before = int(state.get[0]) if state.exists else 0
+        breach = frame[metric] > limit
+        block = (~breach).cumsum()
+        length = breach.astype("int64").groupby(block).cumsum() + before * ((block == 0) & breach).astype("int64")
+        state.update((int(length.iloc[-1]),))
+        yield frame.assign(device_id=key[0], run_length=length)[length >= k][columns]
+
+    return stream.groupBy("device_id").applyInPandasWithState(
+        follow, f"event_id long, device_id string, event_time timestamp, {metric} double, run_length long", "length long",
+        "Append", GroupStateTimeout.NoTimeout)
