@@ -31,8 +31,10 @@ def hash_embed(text: Column, dims: int = 32, unit: bool = True) -> Column:
         lambda i: F.conv(F.substring(h, i * 2 + 1, F.lit(2)), 16, 10).cast("double") / 255.0)))
     if not unit:
         return raw
-    return F.flatten(F.transform(F.array(raw), lambda v: F.transform(v, lambda x: x / F.when(
-        dot(v, v) > 0, F.sqrt(dot(v, v))).otherwise(1.0))))
+    # The same binding keeps the norm from being computed once per element.
+    measured = F.transform(F.array(raw), lambda v: F.struct(v.alias("v"), F.sqrt(dot(v, v)).alias("norm")))
+    return F.flatten(F.transform(measured, lambda m: F.transform(
+        m["v"], lambda x: F.when(m["norm"] > 0, x / m["norm"]).otherwise(x))))
 
 
 def model_embed(load: Callable[[], Callable[[list[str]], list]], batch: int = 64):

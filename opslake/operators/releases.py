@@ -62,20 +62,17 @@ def drift(reference: DataFrame, current: DataFrame, columns: list[str], bins: in
           flag_limit: float = 0.20) -> DataFrame:
     """Population stability index per column, and whether it passes the limit.
 
-    Bin edges are the reference's exact quantiles; they reach the counting pass as one scalar
-    subquery with a fixed, small number of fields.
+    Both sides are unpivoted to (column, value) once. Bin edges are the reference's exact quantiles,
+    one row per column, so the table joined back has as many rows as ``columns`` has entries.
     """
-    parts = []
-    for name in columns:
-        probs = {f"e{i}": i / bins for i in range(1, bins)}
-        edges = exact_quantiles(reference, [], F.col(name), probs)
-        sides = reference.select(F.col(name).alias("x"), F.lit(1).alias("ref")).unionByName(
-            current.select(F.col(name).alias("x"), F.lit(0).alias("ref"))).where("x IS NOT NULL")
-        edge = edges.select(F.struct(*probs)).scalar()
-        number = reduce(lambda a, b: a + b, [F.when(F.col("x") > edge[e], 1).otherwise(0) for e in probs])
-        binned = sides.groupBy(number.alias("bin")).agg(F.sum("ref").alias("r"), F.sum(1 - F.col("ref")).alias("c"))
-        parts.append(binned.select(F.lit(name).alias("column"), "bin", "r", "c"))
-    everything = reduce(DataFrame.unionByName, parts)
+    probs = {f"e{i}": i / bins for i in range(1, bins)}
+    both = reference.select(F.lit(1).alias("ref"), *[F.col(c).cast("double").alias(c) for c in columns]).unionByName(
+        current.select(F.lit(0).alias("ref"), *[F.col(c).cast("double").alias(c) for c in columns]))
+    values = both.unpivot(["ref"], columns, "column", "x").where(F.col("x").isNotNull())
+    edges = exact_quantiles(values.where("ref = 1"), ["column"], F.col("x"), probs)
+    number = reduce(lambda a, b: a + b, [F.when(F.col("x") > F.col(e), 1).otherwise(0) for e in probs])
+    everything = values.join(F.broadcast(edges), "column").groupBy("column", number.alias("bin")).agg(
+        F.sum("ref").alias("r"), F.sum(1 - F.col("ref")).alias("c"))
     totals = everything.groupBy("column").agg(F.sum("r").alias("rt"), F.sum("c").alias("ct"))
     share = everything.join(totals, "column")
     floor = 1e-6

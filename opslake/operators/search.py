@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from opslake.functions import text as tx
 from opslake.operators.ordered import distinct_on, top_per_key
 from opslake.operators.vectors import nearest
 
-# Up to this many queries travel as literals inside the scan; more take the join below.
-LITERAL_QUERIES = 200
+try:
+    import ahocorasick
+except ImportError:  # then the search stays a column expression
+    ahocorasick = None
+
+# Up to this many queries and characters travel as literals inside the scan; more take the join below.
+LITERAL_QUERIES = 2_000
+LITERAL_CHARS = 200_000
+# Up to this many are plain column expressions; more are matched in one pass per text.
+EXPRESSION_QUERIES = 16
 GRAM = 3
 
 # Token budget and the (nearest, keyword hits) settings tried in turn; None is no limit.
@@ -23,24 +35,45 @@ def keyword_search(corpus: DataFrame, queries: DataFrame, key: str = "doc_id",
     """(query_id, query, document columns) of every document that contains the query, ignoring case.
 
     A short query table is checked for size and becomes literals, so the search is a narrow pass
-    over the corpus. A longer one is matched through character grams.
+    over the corpus: a column expression for a handful of queries, one automaton for more. A longer
+    table is matched through character grams.
     """
-    asked = queries.where(F.length("query") > 0).select("query_id", "query")
+    asked = queries.where(F.length("query") > 0).select("query_id", "query", F.lower("query").alias("needle"))
     few = asked.limit(literal_queries + 1).collect()
-    if len(few) > literal_queries:
-        return _search_by_grams(corpus, asked, key)
+    if len(few) > literal_queries or sum(len(r.query) for r in few) > LITERAL_CHARS:
+        return _search_by_grams(corpus, asked.drop("needle"), key)
     if not few:
         return asked.limit(0).join(corpus.limit(0), how="inner", on=F.lit(True)).select(
             "query_id", "query", *corpus.columns)
     kind = asked.schema["query_id"].dataType
     rows = F.array(*[F.struct(F.lit(r.query_id).cast(kind).alias("query_id"), F.lit(r.query).alias("query"),
-                              F.lower(F.lit(r.query)).alias("needle")) for r in few])
-    found = F.filter(rows, lambda q: F.col("_low").contains(q["needle"]))
-    hits = corpus.withColumn("_low", F.lower("text")).select(
-        *corpus.columns, F.explode_outer(found).alias("_q")).where(F.col("_q").isNotNull())
+                              F.lit(r.needle).alias("needle")) for r in few])
+    low = F.lower("text")
+    if len(few) > EXPRESSION_QUERIES and ahocorasick is not None:
+        found = F.transform(_matcher([r.needle for r in few])(low), lambda i: F.get(rows, i))
+    else:
+        found = F.filter(rows, lambda q: low.contains(q["needle"]))
+    hits = corpus.select(*corpus.columns, F.explode_outer(found).alias("_q")).where(F.col("_q").isNotNull())
     return hits.select("_q.query_id", "_q.query", *corpus.columns)
 
 
+def _matcher(needles: list[str]):
+    """Positions of the needles a text contains, all found in one pass over the text."""
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        places: dict[str, list[int]] = {}
+        for place, needle in enumerate(needles):
+            places.setdefault(needle, []).append(place)
+        automaton = ahocorasick.Automaton()
+        for needle, at in places.items():
+            automaton.add_word(needle, at)
+        automaton.make_automaton()
+        for texts in batches:
+            yield texts.map(lambda t: sorted({p for _, at in automaton.iter(t) for p in at}), na_action="ignore")
+
+    return find
+
+
 def _grams(lowered: Column, n: int = GRAM) -> Column:
     """Distinct character n-grams; a shorter string is its own gram, and a text also yields its shorter ones."""
     chars = F.split(lowered, "")

@@ -40,53 +40,68 @@ ARTICLE = Selector(container="article", container_class=None, paragraph_classes=
 @dataclass
 class _Open:
     tag: str
-    container: bool = False
-    skip: bool = False
+    container: int = 0
+    skip: int = 0
+    mute: int = 0
     text: list[str] | None = None
 
 
 class _Reader(HTMLParser):
+    """Keeps the open elements and, as counters, how many of them contain, skip or mute what follows."""
+
     def __init__(self, selector: Selector):
         super().__init__(convert_charrefs=True)
         self.want = selector
         self.stack: list[_Open] = []
+        self.inside = self.skipped = self.muted = 0
         self.title: list[str] = []
+        self.open_paragraphs: list[list[str]] = []
         self.paragraphs: list[list[str]] = []
 
     def handle_starttag(self, tag, attrs):
-        given = {k: v or "" for k, v in attrs}
-        classes = given.get("class", "").split()
-        if tag == self.want.paragraph == "p" and any(o.tag == "p" for o in self.stack):
-            self.handle_endtag("p")
-        entry = _Open(tag)
-        entry.skip = tag in self.want.skip_tags or bool(self.want.skip_classes & set(classes)) or bool(
-            self.want.skip_style and tag == "div" and self.want.skip_style in given.get("style", ""))
-        entry.container = tag == self.want.container and (
-            self.want.container_class is None or bool(re.match(self.want.container_class, " ".join(classes))))
-        inside = any(o.container for o in self.stack) and not any(o.skip for o in self.stack) and not entry.skip
-        if tag == self.want.paragraph and inside and (
-                self.want.paragraph_classes is None or self.want.paragraph_classes & set(classes)):
+        if tag in VOID:
+            self.handle_data(" ")
+            return
+        want, given = self.want, dict(attrs)
+        classes = (given.get("class") or "").split()
+        if tag == want.paragraph and self.open_paragraphs:
+            self.handle_endtag(tag)
+        entry = _Open(tag, mute=int(tag in ("script", "style")))
+        entry.skip = int(tag in want.skip_tags or not want.skip_classes.isdisjoint(classes) or bool(
+            want.skip_style and tag == "div" and want.skip_style in (given.get("style") or "")))
+        entry.container = int(tag == want.container and (
+            want.container_class is None or bool(re.match(want.container_class, " ".join(classes)))))
+        if tag == want.paragraph and self.inside and not self.skipped and not entry.skip and (
+                want.paragraph_classes is None or not want.paragraph_classes.isdisjoint(classes)):
             entry.text = []
             self.paragraphs.append(entry.text)
-        if tag not in VOID:
-            self.stack.append(entry)
-        else:
-            self.handle_data(" ")
+            self.open_paragraphs.append(entry.text)
+        self.stack.append(entry)
+        self._count(entry, 1)
+
+    def _count(self, entry: _Open, step: int) -> None:
+        self.inside += step * entry.container
+        self.skipped += step * entry.skip
+        self.muted += step * entry.mute
 
     def handle_endtag(self, tag):
-        if any(o.tag == tag for o in self.stack):
-            while self.stack.pop().tag != tag:
-                pass
+        if not any(entry.tag == tag for entry in self.stack):
+            return
+        while True:
+            entry = self.stack.pop()
+            self._count(entry, -1)
+            if entry.text is not None:
+                self.open_paragraphs.pop()
+            if entry.tag == tag:
+                return
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1].tag == "title" and not any(o.container for o in self.stack):
-            self.title.append(data)
-        if any(o.tag in ("script", "style") for o in self.stack):
+        if self.muted:
             return
-        for entry in reversed(self.stack):
-            if entry.text is not None:
-                entry.text.append(data)
-                break
+        if self.open_paragraphs:
+            self.open_paragraphs[-1].append(data)
+        elif self.stack and self.stack[-1].tag == "title" and not self.inside:
+            self.title.append(data)
 
 
 def read_page(html: str | None, selector: Selector) -> tuple[str, list[str]]:
