@@ -73,6 +73,7 @@ def _nearest_shared(head: list, rows: DataFrame, k: int, metric: str, threshold:
                     probes: np.ndarray | None = None) -> DataFrame:
     spark = rows.sparkSession
     if not head:
+        # No query, no hit.
         return spark.range(0).selectExpr("id AS query_id", "id", "0.0D AS score")
     matrix = np.array([r.vector for r in head], dtype=np.float64)
     numbers = np.array([r.query_id for r in head], dtype=np.int64)
@@ -126,7 +127,7 @@ def _nearest_in_blocks(queries: DataFrame, rows: DataFrame, k: int, metric: str,
     element = rows.schema["vector"].dataType.simpleString()
     packs = rows.mapInArrow(pack, f"pack bigint, rows array<struct<id:bigint,vector:{element}>>").select(
         F.pmod(F.xxhash64("pack"), F.lit(spread)).cast("int").alias("share"), "rows",
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("block"))
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
 
     @F.pandas_udf("array<struct<query_id:bigint,id:bigint,score:double>>")
     def score(asked: pd.Series, given: pd.Series) -> pd.Series:
