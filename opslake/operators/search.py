@@ -43,8 +43,9 @@ def keyword_search(corpus: DataFrame, queries: DataFrame, key: str = "doc_id",
     if len(few) > literal_queries or sum(len(r.query) for r in few) > LITERAL_CHARS:
         return _search_by_grams(corpus, asked.drop("needle"), key)
     if not few:
-        return asked.limit(0).join(corpus.limit(0), how="inner", on=F.lit(True)).select(
-            "query_id", "query", *corpus.columns)
+        none = F.lit(None)
+        return corpus.limit(0).select(none.cast(asked.schema["query_id"].dataType).alias("query_id"),
+                                      none.cast("string").alias("query"), *corpus.columns)
     kind = asked.schema["query_id"].dataType
     rows = F.array(*[F.struct(F.lit(r.query_id).cast(kind).alias("query_id"), F.lit(r.query).alias("query"),
                               F.lit(r.needle).alias("needle")) for r in few])

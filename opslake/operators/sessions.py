@@ -16,6 +16,9 @@ IDLE_SECONDS = 3600
 DAILY_QUOTA = 10
 QUOTA_ZONE = "Asia/Baku"
 
+# Turns gathered into one value. A longer session becomes several parts in order, never one huge row.
+PART_TURNS = 1_000
+
 
 def last_messages(messages: DataFrame, n: int = HISTORY_LENGTH) -> DataFrame:
     return top_per_key(messages, ["session_id"], [F.col("turn").desc()], n)
@@ -53,7 +56,7 @@ def daily_quota(requests: DataFrame, limit: int = DAILY_QUOTA, zone: str = QUOTA
              F.date_add("local_day", 1).alias("reset_day"))
 
 
-def event_sequence(events: DataFrame, session: str, time: str, tie: str, slice_seconds: int = 86_400) -> DataFrame:
+def event_sequence(events: DataFrame, session: str, time: str, tie: str, slice_seconds: int = 900) -> DataFrame:
     """Number of every event within its session, counted slice by slice."""
     sliced = events.withColumn("_at", time_slice(F.col(time), slice_seconds))
     return running(sliced, [session], [time, tie], "_at", {"sequence_id": ("count", None)}).drop("_at")
@@ -134,10 +137,15 @@ def nest_documents(documents: DataFrame, chunks: DataFrame, embeddings: DataFram
         "tags", F.coalesce("tags", F.array().cast("array<string>")))
 
 
-def nest_conversations(conversations: DataFrame, users: DataFrame, messages: DataFrame, models: DataFrame) -> DataFrame:
+def part(turns: int) -> Column:
+    return F.floor(F.col("turn") / turns).cast("int").alias("part")
+
+
+def nest_conversations(conversations: DataFrame, users: DataFrame, messages: DataFrame, models: DataFrame,
+                       part_turns: int = PART_TURNS) -> DataFrame:
     """Conversations with their user and ordered messages, each with its model when it has one."""
     detailed = messages.join(models, "model_id", "left")
-    nested = detailed.groupBy("session_id").agg(F.sort_array(F.collect_list(
+    nested = detailed.groupBy("session_id", part(part_turns)).agg(F.sort_array(F.collect_list(
         F.struct("turn", "role", "content", "model_name"))).alias("messages"))
     return conversations.join(users, "user_id", "left").join(nested, "session_id", "left")
 
@@ -156,7 +164,8 @@ def feedback_join(feedback: DataFrame, queries: DataFrame) -> tuple[DataFrame, D
     return feedback.join(queries, "query_id"), feedback.join(queries, "query_id", "left_anti")
 
 
-def render_chat(messages: DataFrame, template: str = "<|{role}|>{content}<|end|>") -> DataFrame:
+def render_chat(messages: DataFrame, template: str = "<|{role}|>{content}<|end|>",
+                part_turns: int = PART_TURNS) -> DataFrame:
     """Turns of a conversation in order as one string. ``template`` holds {role} and {content}."""
     head, rest = template.split("{role}")
     middle, tail = rest.split("{content}")
@@ -164,7 +173,7 @@ def render_chat(messages: DataFrame, template: str = "<|{role}|>{content}<|end|>
     ordered = F.sort_array(F.collect_list(turn))
     text = F.transform(ordered, lambda m: F.concat(
         F.lit(head), m["role"], F.lit(middle), m["content"], F.lit(tail)))
-    return messages.groupBy("session_id").agg(F.array_join(text, "\n").alias("text"))
+    return messages.groupBy("session_id", part(part_turns)).agg(F.array_join(text, "\n").alias("text"))
 
 
 def session_summary(messages: DataFrame, width: int = 120) -> DataFrame:
@@ -179,11 +188,11 @@ def session_summary(messages: DataFrame, width: int = 120) -> DataFrame:
         F.lit("; assistant replied: "), said("assistant", F.max_by)).alias("summary"))
 
 
-def session_documents(messages: DataFrame) -> DataFrame:
-    """One JSON document per session."""
+def session_documents(messages: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
+    """One JSON document per session, or per part of a very long one."""
     turns = F.sort_array(F.collect_list(F.struct("turn", "role", "content")))
-    return messages.groupBy("session_id").agg(turns.alias("messages")).select(
-        "session_id", F.to_json(F.struct("session_id", "messages")).alias("document"))
+    return messages.groupBy("session_id", part(part_turns)).agg(turns.alias("messages")).select(
+        "session_id", "part", F.to_json(F.struct("session_id", "part", "messages")).alias("document"))
 
 
 def training_pairs(documents: DataFrame, labels: DataFrame) -> DataFrame:

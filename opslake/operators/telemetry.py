@@ -196,7 +196,7 @@ def sliding_anomaly_counts(scored: DataFrame, size: str = "5 minutes", slide: st
 
 
 def consecutive_breaches(telemetry: DataFrame, metric: str = "temperature", limit: float = 95.0, k: int = 3,
-                         slice_seconds: int = 86_400) -> DataFrame:
+                         slice_seconds: int = 900) -> DataFrame:
     """Readings that complete a run of at least ``k`` consecutive breaches on their device.
 
     The length of the current run is the reading's number minus the number of the last reading

@@ -41,8 +41,8 @@ def _(spark, sf):
     return sessions.messages_after(rows, after, 4).select("session_id", "turn", "role")
 
 
-@query("render_chat", oracle("session_id text", """
-    SELECT session_id, string_agg('<|' || role || '|>' || content || '<|end|>', chr(10) ORDER BY turn) AS text
+@query("render_chat", oracle("session_id part:i text", """
+    SELECT session_id, 0 AS part, string_agg('<|' || role || '|>' || content || '<|end|>', chr(10) ORDER BY turn) AS text
     FROM messages GROUP BY 1""", "messages"))
 def _(spark, sf):
     return sessions.render_chat(src.messages(spark, sf))

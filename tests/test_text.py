@@ -140,7 +140,7 @@ def edit(a, b):
 def test_similar_pairs_miss_nothing(spark):
     rng = random.Random(3)
     bases = ["".join(rng.choice("abc ") for _ in range(rng.randint(3, 40))) for _ in range(25)]
-    labels = set(bases)
+    labels = set(bases) | {"a", "ab", "abc", "b"}
     for base in bases:
         for _ in range(4):
             s = list(base)
@@ -150,7 +150,7 @@ def test_similar_pairs_miss_nothing(spark):
                 s = s or ["z"]
             labels.add("".join(s))
     rows = spark.createDataFrame([(x,) for x in labels], "label string")
-    for threshold in (90, 80):
+    for threshold in (90, 80, 60):
         want = set()
         for a in labels:
             for b in labels:
