@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslake.functions import text as tx
 from opslake.functions.quantiles import exact_quantiles
-from opslake.operators.ordered import distinct_on, top_per_key
+from opslake.operators.ordered import top_per_key
 
 
 def filter_length(corpus: DataFrame, min_chars: int = tx.MIN_PARAGRAPH, more_words_than: int = 5) -> DataFrame:
@@ -167,7 +167,3 @@ def balance_labels(pairs: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """At most ``n`` rows per (query, label), picked by the hash of their key."""
     shuffled = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     return top_per_key(pairs, ["query", "label"], [shuffled, F.col(key)], n)
-
-
-def first_of(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return distinct_on(df, keys, order)

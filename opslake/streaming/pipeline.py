@@ -156,7 +156,10 @@ def log_lines(lines: DataFrame) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the engine dropped for arriving behind the watermark, over all micro-batches kept in progress."""
+    """Rows that reached the state behind the watermark and were dropped, over the micro-batches kept in progress.
+
+    In a windowed count these are partial aggregates, one per late window and key.
+    """
     return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress
                for s in json.loads(p.json if isinstance(p.json, str) else json.dumps(p))["stateOperators"])
 
