@@ -28,6 +28,8 @@ def similar_pairs(labels: DataFrame, threshold: int = 90) -> DataFrame:
     """
     slack = (100.5 - threshold) / 100.0
     named = labels.select(F.col("label")).where(F.length("label") > 0).distinct().withColumn("n", F.length("label"))
+    # Few bytes of labels turn into many candidate keys, so they stay spread over all cores.
+    named = named.repartition(labels.sparkSession.sparkContext.defaultParallelism, "label")
     met = _meet_by_deletions(named, slack).unionByName(_meet_by_pieces(named, slack))
     pairs = met.select(F.least("l", "s").alias("a"), F.greatest("l", "s").alias("b")).distinct()
     return pairs.withColumn("score", similarity(F.col("a"), F.col("b"))).where(F.col("score") >= threshold)
