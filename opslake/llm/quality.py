@@ -102,8 +102,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int, d
 
 
 def classify(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id",
-             text: str = "text", cut: float = 0.3, sample_rows: int = 6_000, sample_chars: int = 12_000, bits: int = 18,
-             dims: int = 8, epochs: int = 4, rate: float = 0.7, seed: int = 5) -> DataFrame:
+             text: str = "text", cut: float = 0.3, sample_rows: int = 4_000, sample_chars: int = 12_000, bits: int = 18,
+             dims: int = 8, epochs: int = 10, rate: float = 0.7, seed: int = 5) -> DataFrame:
     """doc_id, score of class 1 (0 to 1), predicted (score at least ``cut``) for every whole text of ``docs``.
 
     Learns from at most ``sample_rows`` labelled rows of ``train_docs``; labels other than 0 and 1 are ignored, a
