@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import fertility, packing, quality, token_counts
+from opslake.llm import fertility, langid, packing, quality, token_counts
 from opslake.session import use_shared_checkpoints
 
 
@@ -19,6 +19,12 @@ def share(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, docs.where(share(3) != 1))
+    return found.select("doc_id", (share(3) == 1).alias("held_out"), "lang_pred", "score", "phrase_rate")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,5 +47,5 @@ def op8_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_token_counts, op6_best_fit_packing, op7_quality_classifier, op8_tokenizer_fertility)}
+    op2_language_id, op3_token_counts, op6_best_fit_packing, op7_quality_classifier, op8_tokenizer_fertility)}
 ORACLES: dict[str, str] = {}
