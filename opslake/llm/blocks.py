@@ -144,3 +144,26 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
         cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a), Block(texts[a:b])
+
+
+def anchors(h: np.ndarray, width: int) -> np.ndarray:
+    """For every run of ``width`` consecutive hashes the place of its smallest one, the leftmost of equals.
+
+    Equal runs choose the same relative place, so equal windows of text meet on the hash found there.
+    """
+    if len(h) < width:
+        return np.zeros(0, np.int64)
+    mask = np.uint64((1 << len(h).bit_length()) - 1)
+    least = (h & ~mask) | np.arange(len(h), dtype=np.uint64)
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        least = np.minimum(least[:-step], least[step:])
+        size += step
+    return (least & mask).astype(np.int64)
+
+
+def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indexes of the given stretches, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)

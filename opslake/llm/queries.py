@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import fertility, langid, packing, quality, token_counts
+from opslake.llm import fertility, langid, packing, quality, substrings, token_counts
 from opslake.session import use_shared_checkpoints
 
 
@@ -46,6 +46,12 @@ def op8_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_rules(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_language_id, op3_token_counts, op6_best_fit_packing, op7_quality_classifier, op8_tokenizer_fertility)}
+    op2_language_id, op3_token_counts, op6_best_fit_packing, op7_quality_classifier, op8_tokenizer_fertility,
+    op9_substring_dedup)}
 ORACLES: dict[str, str] = {}
