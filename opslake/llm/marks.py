@@ -28,7 +28,7 @@ def packed_marks(k: np.ndarray, h: np.ndarray, start: np.ndarray) -> pa.RecordBa
     order = np.lexsort((start, h, k))
     k, h, start = k[order], h[order], start[order]
     head = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]) | (start[1:] > start[:-1] + 1))[:len(k)])
-    last = np.append(head[1:], len(k)) - 1
+    last = np.append(head, len(k))[1:] - 1
     pairs = np.stack([start[head], start[last] - start[head] + 1], axis=1).astype(np.int32)
     k, h = k[head], h[head]
     first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))) if len(k) else np.zeros(0, int)

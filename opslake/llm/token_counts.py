@@ -71,14 +71,17 @@ def worker_counts(path: str, table: bytes, most: int) -> PretokenCounts:
     return PretokenCounts(path, json.loads(zlib.decompress(table)), most)
 
 
-def frequent_pretokens(docs: DataFrame, path: str, text: str, size: int, sample_rows: int, sample_chars: int) -> bytes:
+def frequent_pretokens(docs: DataFrame, path: str, doc_id: str, text: str, size: int, sample_rows: int,
+                       sample_chars: int) -> bytes:
     """Compact table of frequent pre-tokens with their numbers of tokens, as compressed JSON.
 
-    It comes from a sample of ``sample_rows`` texts (smallest hashes, at most ``sample_chars`` of each) and
-    only decides which lookups are quick, never a count.
+    It comes from a sample of at most ``sample_rows`` texts (those with the smallest hashes of their ids, at most
+    ``sample_chars`` of each) and only decides which lookups are quick, never a count.
     """
-    picked = (docs.select(F.substring(F.col(text), 1, sample_chars).alias("t")).where("t IS NOT NULL")
-              .orderBy(F.xxhash64("t")).limit(sample_rows))
+    place = F.xxhash64(F.col(doc_id))
+    cut = docs.select(place.alias("p")).orderBy("p").limit(sample_rows).agg(F.max("p").alias("p")).first().p
+    picked = docs.where((place <= (cut or 0)) & F.col(text).isNotNull()).select(
+        F.substring(F.col(text), 1, sample_chars).alias("t")).limit(sample_rows)
     seen: Counter[str] = Counter()
     for row in picked.toLocalIterator():
         seen.update(PRETOKEN.findall(row.t))
@@ -96,7 +99,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, doc_id: str
     read. Special strings inside a text are one token, as the library has it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(
-        frequent_pretokens(docs, tokenizer, text, table_size, sample_rows, sample_chars))
+        frequent_pretokens(docs, tokenizer, doc_id, text, table_size, sample_rows, sample_chars))
 
     def count(batches):
         counts = worker_counts(tokenizer, shared.value, cache_size)
