@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import fertility, langid, packing, quality, substrings, suffix, token_counts
+from opslake.llm import fertility, langid, neardup, packing, quality, substrings, suffix, token_counts
 from opslake.session import use_shared_checkpoints
 
 
@@ -34,6 +34,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_shared_checkpoints(spark)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_shared_checkpoints(spark)
     pieces = packing.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -57,6 +62,6 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_language_id, op3_token_counts, op4_suffix_dedup, op6_best_fit_packing, op7_quality_classifier,
-    op8_tokenizer_fertility, op9_substring_dedup)}
+    op2_language_id, op3_token_counts, op4_suffix_dedup, op5_minhash_neardup, op6_best_fit_packing,
+    op7_quality_classifier, op8_tokenizer_fertility, op9_substring_dedup)}
 ORACLES: dict[str, str] = {}
