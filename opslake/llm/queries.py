@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import fertility, langid, neardup, packing, quality, substrings, suffix, token_counts
+from opslake.llm import decontam, fertility, langid, neardup, packing, quality, substrings, suffix, token_counts
 from opslake.session import use_shared_checkpoints
 
 
@@ -61,7 +61,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_shared_checkpoints(spark)
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op2_language_id, op3_token_counts, op4_suffix_dedup, op5_minhash_neardup, op6_best_fit_packing,
-    op7_quality_classifier, op8_tokenizer_fertility, op9_substring_dedup)}
-ORACLES: dict[str, str] = {}
+    op7_quality_classifier, op8_tokenizer_fertility, op9_substring_dedup, op10_decontamination)}
+ORACLES: dict[str, str] = {"op10_decontamination": decontam.SQL}
