@@ -7,6 +7,8 @@ them consistently, and only then.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,18 +23,25 @@ MARK = "\ue000"
 SHARED_ROWS = 1_000_000
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, though it stands in several places or in a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def slotted(text: Column) -> Column:
     """Lower-case words without punctuation; those that fill a slot keep their value behind a mark.
 
     A number is a word with a digit; a unit is one of UNITS right after a number; a name is a capitalised word that does
     not begin the text or follow a full stop, exclamation mark, question mark or colon.
     """
+    def numbers(flat: Column) -> Column:
+        numbered = F.regexp_replace(flat, r"(?<![^ ])(?=[^ 0-9]*+[0-9])", MARK + "n")
+        units = F.regexp_replace(numbered, rf"({MARK}n[^ ]* )({UNITS.replace(' ', '|')})(?![\p{{L}}\p{{N}}])",
+                                 "$1" + MARK + "u$2")
+        return F.when(flat.rlike("[0-9]"), units).otherwise(flat)
+
     flat = F.trim(F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("")), r"\s+", " "))
-    numbered = F.regexp_replace(flat, r"(?<![^ ])(?=[^ 0-9]*+[0-9])", MARK + "n")
-    units = F.regexp_replace(numbered, rf"({MARK}n[^ ]* )({UNITS.replace(' ', '|')})(?![\p{{L}}\p{{N}}])",
-                             "$1" + MARK + "u$2")
-    known = F.when(flat.rlike("[0-9]"), units).otherwise(flat)
-    named = F.regexp_replace(known, r"(?<=[^ .!?:] )(?=\p{Lu}\p{Ll})", MARK + "p")
+    named = F.regexp_replace(let(flat, numbers), r"(?<=[^ .!?:] )(?=\p{Lu}\p{Ll})", MARK + "p")
     return F.trim(F.regexp_replace(F.lower(named), rf"[^\p{{L}}\p{{N}}{MARK} ]+", ""))
 
 
@@ -46,18 +55,24 @@ def template(slots: Column) -> Column:
         slots)
 
 
+def word_hashes(slots: Column) -> Column:
+    return F.transform(tokens(let(slots, template)), lambda x: F.xxhash64(x))
+
+
 def windows(slots: Column, size: int) -> Column:
     """Hash of every window of template words, in order."""
-    hashes = F.transform(tokens(template(slots)), lambda x: F.xxhash64(x))
-    last = F.size(hashes) - size + 1
-    places = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i, size)))
+    def roll(hashes: Column) -> Column:
+        last = F.size(hashes) - size + 1
+        places = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.xxhash64(F.slice(hashes, i, size)))
+
+    return let(word_hashes(slots), roll)
 
 
 def pattern(window: Column) -> Column:
     """Where the value of each slot of a window stood first; equal for consistent renamings."""
     values = F.filter(window, lambda x: F.startswith(x, F.lit(MARK)))
-    return F.transform(values, lambda x: F.array_position(values, x))
+    return let(values, lambda v: F.transform(v, lambda x: F.array_position(v, x)))
 
 
 def questions(benchmark: DataFrame, window: int, least_literal: float, item_id: str, text: str) -> DataFrame:
@@ -69,8 +84,7 @@ def questions(benchmark: DataFrame, window: int, least_literal: float, item_id:
     words = benchmark.select(F.col(item_id).alias("item"), slotted(F.col(text)).alias("slots"))
     words = words.withColumn("words", tokens(F.col("slots"))).where(F.size("words") > 0)
     words = words.withColumn("size", F.least(F.size("words"), F.lit(window)))
-    hashes = F.transform(tokens(template(F.col("slots"))), lambda x: F.xxhash64(x))
-    rows = words.withColumn("hashes", hashes).withColumn("i", F.explode(F.expr("sequence(1, size(words) - size + 1)")))
+    rows = words.withColumn("hashes", word_hashes(F.col("slots"))).withColumn("i", F.explode(F.expr("sequence(1, size(words) - size + 1)")))
     part = F.slice("words", F.col("i"), F.col("size"))
     literal = F.size(F.filter(part, lambda x: ~F.startswith(x, F.lit(MARK))))
     return rows.where(literal >= F.col("size") * least_literal).select(
@@ -109,9 +123,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, least_
                            F.lit(None).cast(kind).alias("item_id"), F.lit(False).alias("contaminated"))
     met = found.groupBy("k", "h").agg(F.collect_set(F.struct("size", "place", "hash")).alias("met")).checkpoint()
     words = slots.join(small(met), ["k", "h"]).withColumn("words", tokens(F.col("slots"))).dropDuplicates(["k", "h"])
-    checked = words.select("k", "h", F.explode(F.transform("met", lambda m: F.struct(
+    checked = words.select("k", "h", F.explode(let(F.col("words"), lambda w: F.transform("met", lambda m: F.struct(
         m["size"].alias("size"), m["hash"].alias("hash"), m["place"].alias("place"),
-        pattern(F.slice("words", m["place"] + 1, m["size"])).alias("pattern")))).alias("m"))
+        pattern(F.slice(w, m["place"] + 1, m["size"])).alias("pattern"))))).alias("m"))
     agreed = checked.select("k", "h", "m.*").join(asked, ["size", "hash", "pattern"]).groupBy("k", "h").agg(
         F.count("*").alias("n"), F.min("item").alias("item")).checkpoint()
     return named.select("k", "h", "doc_id").join(small(agreed), ["k", "h"], "left").select(
