@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.marks import keyed
+from opslake.llm.marks import keyed, rows_as
 
 #: Units that may follow a number.
 UNITS = ("km m cm mm kg g mg l ml s ms h min hours hour minutes minute seconds second days day weeks week months month "
@@ -97,19 +97,12 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SHARED_ROWS + 1).count() <= SHARED_ROWS else df
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, least_literal: float = 0.5,
-                 doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
-                 ) -> DataFrame:
-    """doc_id, n_windows, item_id, contaminated of every row.
-
-    ``n_windows`` counts the windows of a document that match a benchmark window in template and slot pattern, ``item_id``
-    is the smallest item among them. A null or empty text has no window and is clean, as is everything against an empty
-    benchmark; null and empty items are ignored; of repeated items the smallest id is named. Repeated rows and null ids
-    are kept. Other columns are not read.
-    """
+def matches(named: DataFrame, benchmark: DataFrame, window: int, least_literal: float, item_id: str, item_text: str
+            ) -> DataFrame:
+    """k, h, n, item of the keyed documents with a matching window."""
     asked = questions(benchmark, window, least_literal, item_id, item_text).checkpoint()
-    sizes = [r.size for r in asked.select("size").distinct().collect()]
-    named = keyed(docs, doc_id, text)
+    # At most one size for each length up to the window's.
+    sizes = [r["size"] for r in asked.select("size").distinct().collect()] or [window]
     slots = named.select("k", "h", slotted(F.col("text")).alias("slots"))
     known = small(asked.select("size", "hash").distinct())
     found = None
@@ -117,22 +110,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, least_
         rows = slots.select("k", "h", F.posexplode(windows(F.col("slots"), size)).alias("place", "hash"))
         met = rows.join(known.where(F.col("size") == size), "hash").select("k", "h", "size", "place", "hash")
         found = met if found is None else found.unionByName(met)
-    kind = benchmark.schema[item_id].dataType
-    if found is None:
-        return docs.select(F.col(doc_id).alias("doc_id"), F.lit(0).cast("bigint").alias("n_windows"),
-                           F.lit(None).cast(kind).alias("item_id"), F.lit(False).alias("contaminated"))
     met = found.groupBy("k", "h").agg(F.collect_set(F.struct("size", "place", "hash")).alias("met")).checkpoint()
     words = slots.join(small(met), ["k", "h"]).withColumn("words", tokens(F.col("slots"))).dropDuplicates(["k", "h"])
     checked = words.select("k", "h", F.explode(let(F.col("words"), lambda w: F.transform("met", lambda m: F.struct(
         m["size"].alias("size"), m["hash"].alias("hash"), m["place"].alias("place"),
         pattern(F.slice(w, m["place"] + 1, m["size"])).alias("pattern"))))).alias("m"))
-    agreed = checked.select("k", "h", "m.*").join(asked, ["size", "hash", "pattern"]).groupBy("k", "h").agg(
+    return checked.select("k", "h", "m.*").join(asked, ["size", "hash", "pattern"]).groupBy("k", "h").agg(
         F.count("*").alias("n"), F.min("item").alias("item")).checkpoint()
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, least_literal: float = 0.5,
+                 doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
+                 ) -> DataFrame:
+    """doc_id, n_windows, item_id, contaminated of every row.
+
+    ``n_windows`` counts the windows of a document that match a benchmark window in template and slot pattern, ``item_id``
+    is the smallest item among them. A null or empty text has no window and is clean, as is everything against an empty
+    benchmark; null and empty items are ignored; of repeated items the smallest id is named. Repeated rows and null ids
+    are kept. Other columns are not read.
+    """
+    named = keyed(docs, doc_id, text)
+    agreed = matches(named, benchmark, window, least_literal, item_id, item_text)
     return named.select("k", "h", "doc_id").join(small(agreed), ["k", "h"], "left").select(
         "doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_windows"), F.col("item").alias("item_id"),
         F.col("n").isNotNull().alias("contaminated"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, least_literal: float = 0.5,
+                      doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
+                      ) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all columns."""
+    named = keyed(rows_as(docs, "_row"), doc_id, text, "_row")
+    agreed = matches(named, benchmark, window, least_literal, item_id, item_text)
+    return named.select("k", "h", "_row").join(small(agreed.select("k", "h")), ["k", "h"], "left_anti").select("_row.*")
+
+
 #: The same result in DuckDB SQL, word by word.
 SQL = rf"""
 WITH texts AS (

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslake.llm.blocks import Block, blocks, encoded
+from opslake.llm.marks import rows_as
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN, BREAK = 1, 2
@@ -192,3 +193,19 @@ def identify(docs: DataFrame, train_docs: DataFrame, doc_id: str = "doc_id", tex
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id), F.col(text)).mapInArrow(
         predict, f"doc_id {kind}, lang_pred string, score double, phrase_rate double")
+
+
+def keep_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+                   most_rate: float = 8.0, **options) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language, with all columns.
+
+    Learns from the labels of ``docs`` themselves. A text is rejected if it is ``und``, or if even its own language needs
+    more than ``most_rate`` weighed phrases a symbol, which is less than two symbols a phrase. Without any label only
+    texts without letters are ``und`` to reject, and all others stay.
+    """
+    whole = rows_as(docs, "_row").select("_row", F.col(text).alias("_text"), F.col(lang).alias("_lang"))
+    found = identify(whole, whole, "_row", "_text", "_lang", **options)
+    letters = F.coalesce(F.col(f"doc_id.`{text}`").rlike(r"\p{L}"), F.lit(False))
+    stays = (F.col("lang_pred") != "und") & (F.col("phrase_rate") <= most_rate)
+    unlabelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).isEmpty()
+    return found.where(letters if unlabelled else stays).select("doc_id.*")

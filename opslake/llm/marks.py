@@ -13,14 +13,20 @@ MARKS = "k bigint, h bigint, stretches binary"
 LEAST = -(1 << 63)
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """k, h, text: the id (a null is the smallest) and a hash of id and text, which together name a document.
+def keyed(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
+    """k, h, doc_id, text and ``more``: the id (a null is the smallest) and a hash of id and text name a document.
 
     Rows that repeat both id and text are one document under two rows.
     """
     return docs.select(
         F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LEAST).cast("bigint")).alias("k"),
-        F.xxhash64(F.col(doc_id), F.col(text)).alias("h"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+        F.xxhash64(F.col(doc_id), F.col(text)).alias("h"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+        *more)
+
+
+def rows_as(docs: DataFrame, name: str) -> DataFrame:
+    """The frame with a column that holds the whole row."""
+    return docs.withColumn(name, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def packed_marks(k: np.ndarray, h: np.ndarray, start: np.ndarray) -> pa.RecordBatch:

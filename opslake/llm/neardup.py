@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from opslake.llm.blocks import Block, blocks, mix, prefix_hash, span_hash
 from opslake.llm.components import components
-from opslake.llm.marks import keyed
+from opslake.llm.marks import keyed, rows_as
 from opslake.llm.sketch import ROWS, cells
 
 POOL_BITS = 14
@@ -217,6 +217,33 @@ def links(members: DataFrame, texts: DataFrame, size: int, threshold: float, kno
             return found.checkpoint()
 
 
+def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float, bands: int, rows: int,
+            sketch_bits: int, seed: int) -> DataFrame:
+    """k, h, doc_id, class_id, class_size, first (the smallest k, h of its class) of every row."""
+    known = frequencies(docs, text, size, sketch_bits)
+    named = keyed(docs, doc_id, text)
+    each = signed(named, size, bands, rows, seed, known).checkpoint()
+    nodes = each.where("node IS NOT NULL").groupBy("node").agg(
+        F.min(F.struct("k", "h")).alias("r"), F.min("doc_id").alias("id"), F.count("*").alias("n"),
+        F.first("bands").alias("bands"))
+    exploded = nodes.select("node", F.explode("bands").alias("key"))
+    shared = exploded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = exploded.join(shared, "key").checkpoint()
+    involved = members.select("node").distinct().join(nodes.select("node", "r.k", "r.h"), "node")
+    texts = named.select("k", "h", "text").join(involved, ["k", "h"]).groupBy("node").agg(
+        F.first("text").alias("text")).checkpoint()
+    label = components(links(members, texts, size, threshold, known), "node", "leader")
+    labelled = nodes.drop("bands").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    total = labelled.groupBy("label").agg(
+        F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min("r").alias("least"))
+    found = labelled.select("node", "label").join(total, "label").drop("label")
+    alone = F.col("node").isNull()
+    return each.drop("bands").join(found, "node", "left").select(
+        "k", "h", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("class_size", F.lit(1).cast("bigint")).alias("class_size"),
+        (alone | (F.struct("k", "h") == F.col("least"))).alias("first"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
                     threshold: float = 0.8, bands: int = 14, rows: int = 3, sketch_bits: int = 18, seed: int = 11
                     ) -> DataFrame:
@@ -228,22 +255,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     they share a band; at 0.8 the bands miss 4 links in 100,000. class_id is null if no row of the class has an id. Other
     columns are not read.
     """
-    known = frequencies(docs, text, size, sketch_bits)
-    named = keyed(docs, doc_id, text)
-    rows_ = signed(named, size, bands, rows, seed, known).checkpoint()
-    nodes = rows_.where("node IS NOT NULL").groupBy("node").agg(
-        F.min(F.struct("k", "h")).alias("r"), F.first("bands").alias("bands"))
-    exploded = nodes.select("node", F.explode("bands").alias("key"))
-    shared = exploded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = exploded.join(shared, "key").checkpoint()
-    involved = members.select("node").distinct().join(nodes.select("node", "r.k", "r.h"), "node")
-    texts = named.select("k", "h", "text").join(involved, ["k", "h"]).groupBy("node").agg(
-        F.first("text").alias("text")).checkpoint()
-    label = components(links(members, texts, size, threshold, known), "node", "leader")
-    per_node = rows_.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    per_class = per_node.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    total = per_class.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
-    by_node = per_class.select("node", "label").join(total, "label").select("node", "class_id", "class_size")
-    return rows_.select("doc_id", "node").join(by_node, "node", "left").select(
-        "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("class_size", F.lit(1).cast("bigint")).alias("class_size"))
+    return classes(docs, doc_id, text, size, threshold, bands, rows, sketch_bits, seed).drop("k", "h", "first")
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8,
+               bands: int = 14, rows: int = 3, sketch_bits: int = 18, seed: int = 11) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the one with the smallest id stays, with all columns.
+
+    Of rows that repeat id and text one stays; texts without words all stay.
+    """
+    kept = classes(docs, doc_id, text, size, threshold, bands, rows, sketch_bits, seed).where("first").select("k", "h")
+    whole = keyed(rows_as(docs, "_row"), doc_id, text, "_row")
+    return whole.select("k", "h", "_row").join(kept.distinct(), ["k", "h"]).dropDuplicates(["k", "h"]).select("_row.*")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import decontam, fertility, langid, neardup, packing, quality, substrings, suffix, token_counts
+from opslake.llm import decontam, fertility, langid, neardup, packing, quality, substrings, suffix, suffix_tree, token_counts
 from opslake.session import use_shared_checkpoints
 
 
@@ -19,6 +19,12 @@ def share(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_shared_checkpoints(spark)
+    scored = suffix_tree.score_texts(table(spark, sf_dir, "documents"), share(5) != 1)
+    return scored.withColumn("held_out", share(5) == 1)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, docs.where(share(3) != 1))
@@ -67,6 +73,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_language_id, op3_token_counts, op4_suffix_dedup, op5_minhash_neardup, op6_best_fit_packing,
+    op1_suffix_tree_lm, op2_language_id, op3_token_counts, op4_suffix_dedup, op5_minhash_neardup, op6_best_fit_packing,
     op7_quality_classifier, op8_tokenizer_fertility, op9_substring_dedup, op10_decontamination)}
 ORACLES: dict[str, str] = {"op10_decontamination": decontam.SQL}

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslake.llm.blocks import Block, anchors, blocks, encoded, gather, prefix_hash, runs, span_hash, window_hash
-from opslake.llm.marks import MARKS, keyed, marked, packed_marks, with_marks
+from opslake.llm.marks import MARKS, keyed, marked, packed_marks, rows_as, with_marks
 from opslake.llm.sketch import count_min, seen_twice
 
 GRAM = 36
@@ -200,26 +200,15 @@ def remove_earlier(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", t
     empty text has nothing to remove. ``spans`` are the removed (start, end) in bytes; ``kept`` are the other bytes, which
     may cut a character. Other columns are not read. ``bits`` sizes the sketch: 2 * 2**bits bits are shared.
     """
-    if length <= GRAM:
-        raise ValueError(f"length must be over {GRAM}")
-    buckets = max(8, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    named = keyed(docs, doc_id, text)
-    marks = repeated_strings(named, length, bits, buckets)
-
     def remove(batches):
         for batch in batches:
             sizes, n_removed, spans, kept = [], [], [], []
             for t, parts in zip(encoded(batch.column(1)), batch.column(2).to_pylist()):
+                gone = marked(len(t), parts, length) if parts else np.zeros(0, bool)
                 sizes.append(len(t))
-                if parts:
-                    gone = marked(len(t), parts, length)
-                    n_removed.append(int(gone.sum()))
-                    spans.append([{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in runs(gone)))])
-                    kept.append(b"".join(t[a:b] for a, b in zip(*runs(~gone))))
-                else:
-                    n_removed.append(0)
-                    spans.append([])
-                    kept.append(t)
+                n_removed.append(int(gone.sum()))
+                spans.append([{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in runs(gone)))])
+                kept.append(b"".join(t[a:b] for a, b in zip(*runs(~gone))) if parts else t)
             stretch = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(n_removed, pa.int64()),
@@ -227,6 +216,38 @@ def remove_earlier(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", t
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return with_marks(named, marks).select("doc_id", "text", "stretches").mapInArrow(
+    named = keyed(docs, doc_id, text)
+    return marked_texts(named, length, bits).select("doc_id", "text", "stretches").mapInArrow(
         remove, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, "
                 "spans array<struct<start:bigint,end:bigint>>, kept binary")
+
+
+def marked_texts(named: DataFrame, length: int, bits: int) -> DataFrame:
+    if length <= GRAM:
+        raise ValueError(f"length must be over {GRAM}")
+    buckets = max(8, 4 * int(named.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return with_marks(named, repeated_strings(named, length, bits, buckets))
+
+
+def cut_texts(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", text: str = "text", bits: int = 27
+              ) -> DataFrame:
+    """The rows of ``docs`` with all columns and the same removal done in ``text``.
+
+    Bytes of a character that a cut leaves in part are dropped too. A null text stays null, and a text of which nothing is
+    left is empty.
+    """
+    def cut(batches):
+        for batch in batches:
+            kept = []
+            for t, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if parts:
+                    data = t.encode()
+                    left = runs(~marked(len(data), parts, length))
+                    t = b"".join(data[a:b] for a, b in zip(*left)).decode("utf-8", "ignore")
+                kept.append(t)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], ["_row", "_kept"])
+
+    named = keyed(rows_as(docs, "_row"), doc_id, text, "_row")
+    done = marked_texts(named, length, bits).select("_row", "text", "stretches").mapInArrow(
+        cut, f"_row {named.schema['_row'].dataType.simpleString()}, _kept string")
+    return done.select(*[F.col("_kept").alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns])
