@@ -36,7 +36,7 @@ def count_min(docs: DataFrame, text: str, keys_of: Callable[[Block], np.ndarray]
     bits, whatever the input. Partial sketches are sent sparsely, each cell once for a block, with counters that stop
     at two.
     """
-    slices = max(1, 1 << (bits - SLICE_BITS))
+    slices = 1 << max(0, bits - SLICE_BITS)
     width = 1 << min(bits, SLICE_BITS)
 
     def partial(batches):

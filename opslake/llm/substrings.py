@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslake.llm.blocks import Block, anchors, blocks, encoded, gather, runs, window_hash
-from opslake.llm.marks import MARKS, keyed, marked, packed_marks, with_marks
+from opslake.llm.marks import FIRST_LOT, MARKS, keyed, mark_rows, marked, passed_on, settled_rows, with_marks
 from opslake.llm.sketch import count_min, seen_twice
 
 PART = "bucket int, anchors binary, owners binary, starts binary, counts binary, windows binary, marks binary"
@@ -64,8 +64,7 @@ def repeated_windows(docs: DataFrame, window: int, bits: int, buckets: int) -> D
             k, h = (np.asarray(batch.column(i)) for i in (0, 1))
             doc = words.doc[start] if len(start) else start
             local = start - words.first[doc]
-            mine = packed_marks(k[doc[settled]], h[doc[settled]], local[settled])
-            yield from rows_of_marks(mine)
+            yield settled_rows(k[doc[settled]], h[doc[settled]], local[settled], buckets, PART)
             # Send each window once; neighbours with one anchor make a stretch. No reply is needed for settled ones.
             send = np.flatnonzero(first)
             joined = np.zeros(len(send), bool)
@@ -94,11 +93,8 @@ def repeated_windows(docs: DataFrame, window: int, bits: int, buckets: int) -> D
         parts = ([], [], [], [], [])
         for batch in batches:
             for i in range(batch.num_rows):
-                if (settled := batch.column(6)[i].as_py()) is not None:
-                    owner = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(owner[:1]), pa.array(owner[1:2]), pa.array([settled], pa.binary())],
-                        ["k", "h", "stretches"])
+                if (bucket := batch.column(0)[i].as_py()) >= FIRST_LOT:
+                    yield passed_on(bucket, batch.column(6)[i])
                     continue
                 for part, column, kind in zip(parts, range(1, 6), (np.uint64, np.int64, np.int32, np.int32, np.uint64)):
                     part.append(np.frombuffer(batch.column(column)[i].as_py(), kind))
@@ -116,23 +112,12 @@ def repeated_windows(docs: DataFrame, window: int, bits: int, buckets: int) -> D
         again[order] = np.bincount(run)[run] > 1
         again &= owner[stretch, 2] == 1
         for lot in np.array_split(np.flatnonzero(again), max(1, again.sum() // 500_000)):
-            yield packed_marks(owner[stretch[lot], 0], owner[stretch[lot], 1], at[lot])
+            yield mark_rows(owner[stretch[lot], 0], owner[stretch[lot], 1], at[lot], buckets)
 
     sent = docs.select("k", "h", "text").mapInArrow(candidates, PART)
     return sent.repartition("bucket").mapInArrow(group, MARKS)
 
 
-def rows_of_marks(found: pa.RecordBatch):
-    """Settled marks travel with the candidates, spread over the buckets by their document."""
-    if found.num_rows:
-        k, h = np.asarray(found.column(0)), np.asarray(found.column(1))
-        none = pa.nulls(found.num_rows, pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((h & 0xFFFF).astype(np.int32) + (1 << 20)), none,
-             pa.array([np.array(x, np.int64).tobytes() for x in zip(k, h)], pa.binary()), none, none, none,
-             found.column(2)], ["bucket", "anchors", "owners", "starts", "counts", "windows", "marks"])
-
-
 def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text", bits: int = 27
                    ) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text: texts without the words of windows that also start anywhere else.

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslake.llm.blocks import Block, anchors, blocks, encoded, gather, prefix_hash, runs, span_hash, window_hash
-from opslake.llm.marks import MARKS, keyed, marked, packed_marks, rows_as, with_marks
+from opslake.llm.marks import (
+    FIRST_LOT, MARKS, keyed, mark_rows, marked, passed_on, rows_as, settled_rows, with_marks)
 from opslake.llm.sketch import count_min, seen_twice
 
 GRAM = 36
@@ -125,14 +126,7 @@ def repeated_strings(docs: DataFrame, length: int, bits: int, buckets: int) -> D
             late = order[~new & ~twin]
             at = gather(s[late], count[late])
             d = np.repeat(doc[late], count[late])
-            found = packed_marks(k[d], h[d], at - block.starts[d])
-            if found.num_rows:
-                none = pa.nulls(found.num_rows, pa.binary())
-                fk, fh = np.asarray(found.column(0)), np.asarray(found.column(1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((fh & 0xFFFF).astype(np.int32) + (1 << 20)),
-                     pa.array([np.array(x, np.int64).tobytes() for x in zip(fk, fh)], pa.binary()), none, none,
-                     found.column(2)], ["bucket", "owners", "places", "bytes", "marks"])
+            yield settled_rows(k[d], h[d], at - block.starts[d], buckets, PART)
             pick = np.sort(order[new])
             bucket = (grams[a[pick]] % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
@@ -154,11 +148,8 @@ def repeated_strings(docs: DataFrame, length: int, bits: int, buckets: int) -> D
         with files.folder:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    owner = np.frombuffer(batch.column(1)[i].as_py(), np.int64)
-                    if (settled := batch.column(4)[i].as_py()) is not None:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(owner[:1]), pa.array(owner[1:]), pa.array([settled], pa.binary())],
-                            ["k", "h", "stretches"])
+                    if (bucket := batch.column(0)[i].as_py()) >= FIRST_LOT:
+                        yield passed_on(bucket, batch.column(4)[i])
                         continue
                     place = np.frombuffer(batch.column(2)[i].as_py(), np.int32).reshape(-1, 3).astype(np.int64)
                     body = np.frombuffer(batch.column(3)[i].as_py(), np.uint8)
@@ -167,7 +158,7 @@ def repeated_strings(docs: DataFrame, length: int, bits: int, buckets: int) -> D
                     flat = gather(np.arange(len(place)) * rows.shape[1] + place[:, 1], size)
                     rows.reshape(-1)[flat] = body
                     files.add(rows)
-                    owners.append(owner.reshape(-1, 2))
+                    owners.append(np.frombuffer(batch.column(1)[i].as_py(), np.int64).reshape(-1, 2))
                     places.append(place)
             files.close_for_reading()
             if not owners:
@@ -185,7 +176,7 @@ def repeated_strings(docs: DataFrame, length: int, bits: int, buckets: int) -> D
             i = lot[i]
             inside = (column >= place[i, 1]) & (column < place[i, 1] + place[i, 2])
             i, column = i[inside], column[inside]
-            yield packed_marks(owner[i, 0], owner[i, 1], place[i, 0] + column - place[i, 1])
+            yield mark_rows(owner[i, 0], owner[i, 1], place[i, 0] + column - place[i, 1], buckets)
 
     sent = docs.select("k", "h", "text").mapInArrow(segments, PART)
     return sent.repartition("bucket").mapInArrow(transform, MARKS)
