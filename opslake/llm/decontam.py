@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslake.llm.marks import keyed, rows_as
+from opslake.session import use_shared_checkpoints
 
 #: Units that may follow a number.
 UNITS = ("km m cm mm kg g mg l ml s ms h min hours hour minutes minute seconds second days day weeks week months month "
@@ -100,6 +101,7 @@ def small(df: DataFrame) -> DataFrame:
 def matches(named: DataFrame, benchmark: DataFrame, window: int, least_literal: float, item_id: str, item_text: str
             ) -> DataFrame:
     """k, h, n, item of the keyed documents with a matching window."""
+    use_shared_checkpoints(named.sparkSession)
     asked = questions(benchmark, window, least_literal, item_id, item_text).checkpoint()
     # At most one size for each length up to the window's.
     sizes = [r["size"] for r in asked.select("size").distinct().collect()] or [window]

@@ -5,7 +5,8 @@ size over the whole corpus. Improved consistent weighted sampling draws, for eac
 with a quantised weight; two documents draw the same with the probability of their weighted Jaccard similarity.
 Documents that share a band are compared with a leader of the band, not with each other: the similarity's distance is a
 metric, so whoever is far from the leader cannot be near its copies, and whoever is in one class need not be compared.
-What these two rules leave open is led by another document in a next round, until nothing is open.
+What these two rules leave open is divided by a second band and compared with leaders of those, so that a large group
+costs a number of comparisons in proportion to its members.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from opslake.llm.blocks import Block, blocks, mix, prefix_hash, span_hash
 from opslake.llm.components import components
 from opslake.llm.marks import keyed, rows_as
 from opslake.llm.sketch import ROWS, cells
+from opslake.session import use_shared_checkpoints
 
 POOL_BITS = 14
 #: Added to the share of documents that hold a shingle before its inverse is taken. Rare shingles then weigh alike, so
@@ -185,54 +187,71 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, known) -> DataFrame:
         compare, "node binary, leader binary, similarity double")
 
 
-def links(members: DataFrame, texts: DataFrame, size: int, threshold: float, known) -> DataFrame | None:
-    """Verified (node, leader) links that join every two similar nodes of a band, directly or through others."""
+def led(live: DataFrame, salt: int) -> DataFrame:
+    """Distinct (node, leader) of every key, the leader being the node with the smallest salted hash."""
+    leader = live.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("at"), "node")).alias("l"))
+    return live.join(leader.select("key", F.col("l.node").alias("leader")), "key").where("node <> leader")
+
+
+def links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, threshold: float, bands: int, known
+          ) -> DataFrame:
+    """Verified (node, leader) links that join similar nodes of a band, directly or through others.
+
+    First every node of a band is compared with one leader. Where that leaves nodes of several classes open, those that
+    share a second band as well are compared with a leader of their own, for each second band in turn.
+    """
     far = 1 - 2 * (1 - threshold)
-    live = members.select("key", "node", F.lit(False).alias("met"))
-    found = None
-    while True:
-        leader = live.groupBy("key").agg(F.min(F.struct("met", "node")).alias("l")).select(
-            "key", F.col("l.node").alias("leader"))
-        asked = live.join(leader, "key").where("node <> leader").checkpoint()
-        sims = verified(asked.select("node", "leader").distinct(), texts, size, known).checkpoint()
-        new = sims.where(F.col("similarity") >= threshold).select("node", "leader")
-        found = new if found is None else found.unionByName(new)
-        label = components(found, "node", "leader")
-        known_now = (asked.join(sims, ["node", "leader"]).join(label, "node", "left")
-                     .withColumn("label", F.coalesce("label", "node"))
-                     .withColumn("match", F.col("similarity") >= threshold))
-        state = known_now.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(F.when(F.col("met"), F.col("label"))).alias("met_label"),
-            F.max(~F.col("match") & ~F.col("met") & (F.col("similarity") >= far)).alias("grey"))
-        # A key with one class is done. A match of the leader needs no leading of its own if those met before are of
-        # its class; it stays to be compared only while somebody is neither near the leader nor far from it.
-        now = known_now.join(state.where("low < high"), "key")
-        meets = F.col("match") & ~F.col("met") & (F.col("met_label").isNull() | (F.col("met_label") == F.col("label")))
-        after = now.where(~meets | F.col("grey")).select("key", "node", (F.col("met") | meets).alias("met"))
-        unmet = after.groupBy("key").agg(F.min("met").alias("none"), F.count("*").alias("n")).where(
-            "NOT none AND n > 1").select("key")
-        live = after.join(unmet, "key").checkpoint()
+    asked = led(members, 0).checkpoint()
+    sims = verified(asked.select("node", "leader").distinct(), texts, size, known).checkpoint()
+    found = sims.where(F.col("similarity") >= threshold).select("node", "leader").checkpoint()
+    label = components(found, "node", "leader")
+    seen = asked.join(sims, ["node", "leader"]).withColumn("match", F.col("similarity") >= threshold)
+    seen = seen.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # Whoever is far from the leader is no neighbour of its matches; those matter only to nodes in between.
+    state = seen.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.max(~F.col("match") & (F.col("similarity") >= far)).alias("grey"), F.count_if(~F.col("match")).alias("open"))
+    live = seen.join(state.where("low < high AND (grey OR open > 1)"), "key").where(
+        ~F.col("match") | F.col("grey")).select("key", "band", "node").checkpoint()
+    for first in range(1, bands, 3):
         if live.isEmpty():
-            return found.checkpoint()
+            break
+        others = F.array(*[F.xxhash64("key", F.get("bands", (F.col("band") + step) % bands))
+                           for step in range(first, min(first + 3, bands))])
+        both = live.join(nodes.select("node", "bands"), "node").select("node", F.explode(others).alias("key"))
+        pairs = led(both, first).select("node", "leader").distinct()
+        for end in ("node", "leader"):
+            mine = label.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+            pairs = pairs.join(mine, end, "left").withColumn(f"{end}_label", F.coalesce(f"{end}_label", end))
+        pairs = pairs.where("node_label <> leader_label").select("node", "leader")
+        sims = verified(pairs, texts, size, known)
+        new = sims.where(F.col("similarity") >= threshold).select("node", "leader").checkpoint()
+        if not new.isEmpty():
+            found = found.unionByName(new).checkpoint()
+            label = components(found, "node", "leader")
+        classed = live.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        several = classed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        live = live.join(several.select("key"), "key").checkpoint()
+    return label
 
 
 def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float, bands: int, rows: int,
             sketch_bits: int, seed: int) -> DataFrame:
     """k, h, doc_id, class_id, class_size, first (the smallest k, h of its class) of every row."""
+    use_shared_checkpoints(docs.sparkSession)
     known = frequencies(docs, text, size, sketch_bits)
     named = keyed(docs, doc_id, text)
     each = signed(named, size, bands, rows, seed, known).checkpoint()
     nodes = each.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("k", "h")).alias("r"), F.min("doc_id").alias("id"), F.count("*").alias("n"),
         F.first("bands").alias("bands"))
-    exploded = nodes.select("node", F.explode("bands").alias("key"))
+    exploded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = exploded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = exploded.join(shared, "key").checkpoint()
     involved = members.select("node").distinct().join(nodes.select("node", "r.k", "r.h"), "node")
     texts = named.select("k", "h", "text").join(involved, ["k", "h"]).groupBy("node").agg(
         F.first("text").alias("text")).checkpoint()
-    label = components(links(members, texts, size, threshold, known), "node", "leader")
+    label = links(members, nodes, texts, size, threshold, bands, known)
     labelled = nodes.drop("bands").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     total = labelled.groupBy("label").agg(
         F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min("r").alias("least"))

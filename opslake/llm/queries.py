@@ -20,7 +20,6 @@ def share(n: int):
 
 
 def op1_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_shared_checkpoints(spark)
     scored = suffix_tree.score_texts(table(spark, sf_dir, "documents"), share(5) != 1)
     return scored.withColumn("held_out", share(5) == 1)
 
@@ -41,7 +40,6 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_shared_checkpoints(spark)
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
@@ -68,7 +66,6 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_shared_checkpoints(spark)
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
