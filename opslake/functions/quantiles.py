@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 
 def band(value: Column) -> Column:
-    """A slice number that grows with the value; bands are about one percent wide."""
-    return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("long")
+    """A slice number that grows with the value; bands are about one percent wide.
+
+    Infinities have bands of their own, and NaN, which Spark takes for larger than any number, has the last.
+    """
+    edge = F.lit(1 << 61)
+    return (F.when(F.isnan(value), F.lit(1 << 62)).when(value == float("inf"), edge).when(value == float("-inf"), -edge)
+            .otherwise((F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("long")))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probs: dict[str, float]) -> DataFrame:
@@ -18,7 +23,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probs: dict[s
 
     The built-in exact percentile keeps every distinct value of a group in one task. Here values
     are counted first, the counts per band locate the ranks wanted, and only the bands that hold
-    one are ordered. The largest unit of work is one band of one group.
+    one are ordered. The largest unit of work is one band of one group. NaN counts as larger than
+    any number; a quantile that reaches into the NaN values is NaN.
     """
     counted = df.where(value.isNotNull()).groupBy(*keys, value.cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")).withColumn("_band", band(F.col("_v")))
@@ -54,4 +60,5 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: Column, probs: dict[s
                    F.max((F.col("_total") - 1) * F.lit(p) - rank(p, False)).alias(f"_w_{name}")]
     grouped = placed.groupBy(*keys).agg(*picked)
     return grouped.select(*keys, *[
-        (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")).alias(n) for n in probs])
+        F.when(F.col(f"_lo_{n}") == F.col(f"_hi_{n}"), F.col(f"_lo_{n}")).otherwise(
+            F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")).alias(n) for n in probs])

@@ -142,12 +142,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search strings: the first two words of every benchmark item, ids ascending."""
-    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    return table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"),
-        F.array_join(F.slice(words, 1, 2), " ").alias("query"),
-    )
+    """Search strings: the whole text of every benchmark item."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

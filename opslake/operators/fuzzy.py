@@ -95,17 +95,17 @@ def _meet_by_pieces(named: DataFrame, slack: float) -> DataFrame:
     return longer.join(shorter, ["ln", "piece", "part"]).where(F.col("l") != F.col("s")).select("l", "s")
 
 
-def connected(labels: DataFrame, pairs: DataFrame, rounds: int = 50) -> DataFrame:
+def connected(labels: DataFrame, pairs: DataFrame) -> DataFrame:
     """(label, representative): the smallest label reachable through pairs.
 
     Each round takes the smallest representative among the neighbours and then that one's own
-    representative, so distances halve. Every round is cut off with a checkpoint in shared storage.
+    representative, so distances halve, until nothing changes. Every round is cut off with a checkpoint in shared storage.
     """
     use_shared_checkpoints(labels.sparkSession)
     links = pairs.select(F.col("a").alias("label"), F.col("b").alias("other")).unionByName(
         pairs.select(F.col("b").alias("label"), F.col("a").alias("other"))).checkpoint()
     current = labels.select("label").distinct().withColumn("representative", F.col("label")).checkpoint()
-    for _ in range(rounds):
+    while True:
         seen = links.join(current.withColumnRenamed("label", "other"), "other").groupBy("label").agg(
             F.min("representative").alias("near"))
         lowered = current.join(seen, "label", "left").select(
@@ -118,7 +118,6 @@ def connected(labels: DataFrame, pairs: DataFrame, rounds: int = 50) -> DataFram
         current = moved.select("label", "representative")
         if moved.where("representative <> before").isEmpty():
             return current
-    raise RuntimeError("label groups did not settle; raise the number of rounds")
 
 
 def fuzzy_groups(labels: DataFrame, threshold: int = 90) -> DataFrame:

@@ -34,14 +34,17 @@ def keyword_search(corpus: DataFrame, queries: DataFrame, key: str = "doc_id",
                    literal_queries: int = LITERAL_QUERIES) -> DataFrame:
     """(query_id, query, document columns) of every document that contains the query, ignoring case.
 
-    A short query table is checked for size and becomes literals, so the search is a narrow pass
-    over the corpus: a column expression for a handful of queries, one automaton for more. A longer
-    table is matched through character grams.
+    Equal rows of the query table are asked once; documents with a null or repeated key are found like all others. A
+    short query table is checked for size and becomes literals, so the search is a narrow pass over the corpus: a
+    column expression for a handful of queries, one automaton for more. A longer table is matched through character
+    grams. The way never changes the rows.
     """
-    asked = queries.where(F.length("query") > 0).select("query_id", "query", F.lower("query").alias("needle"))
-    few = asked.limit(literal_queries + 1).collect()
-    if len(few) > literal_queries or sum(len(r.query) for r in few) > LITERAL_CHARS:
+    asked = queries.where(F.length("query") > 0).select(
+        "query_id", "query", F.lower("query").alias("needle")).distinct()
+    rows, chars = asked.agg(F.count("*"), F.coalesce(F.sum(F.length("query")), F.lit(0))).first()
+    if rows > literal_queries or chars > LITERAL_CHARS:
         return _search_by_grams(corpus, asked.drop("needle"), key)
+    few = asked.collect()
     if not few:
         none = F.lit(None)
         return corpus.limit(0).select(none.cast(asked.schema["query_id"].dataType).alias("query_id"),
@@ -92,16 +95,18 @@ def _search_by_grams(corpus: DataFrame, queries: DataFrame, key: str) -> DataFra
     """
     low = F.lower("query")
     asked = queries.withColumn("_needle", low)
+    # A hash of key and text names a document, so that null and repeated keys neither vanish nor multiply.
+    corpus_rows = corpus.withColumn("_h", F.xxhash64(F.col(key), F.col("text")))
     sizes = [1, 2, GRAM]
     text_grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_low"), n) for n in sizes])))
     query_grams = F.when(F.length("_needle") >= GRAM, _grams(F.col("_needle"))).otherwise(F.array("_needle"))
     wanted = asked.select("query_id", "query", "_needle", F.explode(query_grams).alias("gram"))
-    held = corpus.select(F.col(key), F.lower("text").alias("_low")).select(
-        key, F.explode_outer(text_grams).alias("gram")).join(wanted.select("gram").distinct(), "gram", "left_semi")
+    held = corpus_rows.select("_h", F.lower("text").alias("_low")).select(
+        "_h", F.explode_outer(text_grams).alias("gram")).join(wanted.select("gram").distinct(), "gram", "left_semi")
     frequency = held.groupBy("gram").agg(F.count(F.lit(1)).alias("_documents"))
     rarest = distinct_on(wanted.join(frequency, "gram"), ["query_id", "query"], [F.col("_documents"), F.col("gram")])
-    pairs = held.join(rarest.select("gram", "query_id", "query", "_needle"), "gram").drop("gram")
-    return pairs.join(corpus, key).where(F.lower("text").contains(F.col("_needle"))).select(
+    pairs = held.join(rarest.select("gram", "query_id", "query", "_needle"), "gram").drop("gram").distinct()
+    return pairs.join(corpus_rows, "_h").where(F.lower("text").contains(F.col("_needle"))).select(
         "query_id", "query", *corpus.columns)
 
 

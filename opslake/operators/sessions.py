@@ -16,9 +16,6 @@ IDLE_SECONDS = 3600
 DAILY_QUOTA = 10
 QUOTA_ZONE = "Asia/Baku"
 
-# Turns gathered into one value. A longer session becomes several parts in order, never one huge row.
-PART_TURNS = 1_000
-
 
 def last_messages(messages: DataFrame, n: int = HISTORY_LENGTH) -> DataFrame:
     return top_per_key(messages, ["session_id"], [F.col("turn").desc()], n)
@@ -111,10 +108,13 @@ def append_new_only(new: DataFrame, existing: DataFrame, keys: list[str]) -> Dat
 def cache_lookup(requests: DataFrame, cache: DataFrame) -> DataFrame:
     """Requests with the stored response of the same prompt; ``hit`` is false for the rest.
 
+    A prompt stored more than once answers with its smallest response, so a request stays one row.
+
     The join key is a hash of the prompt, so long prompts are not compared byte by byte in the
     shuffle; the prompt itself is compared as well.
     """
-    stored = cache.select(F.sha2("prompt", 256).alias("_h"), F.col("prompt").alias("_p"), "response")
+    stored = cache.groupBy(F.sha2("prompt", 256).alias("_h"), F.col("prompt").alias("_p")).agg(
+        F.min("response").alias("response"))
     asked = requests.withColumn("_hash", F.sha2("prompt", 256))
     return asked.join(stored, (F.col("_hash") == F.col("_h")) & (F.col("prompt") == F.col("_p")), "left").withColumn(
         "hit", F.col("_p").isNotNull()).drop("_hash", "_h", "_p")
@@ -137,12 +137,13 @@ def nest_documents(documents: DataFrame, chunks: DataFrame, embeddings: DataFram
         "tags", F.coalesce("tags", F.array().cast("array<string>")))
 
 
-def part(turns: int) -> Column:
-    return F.floor(F.col("turn") / turns).cast("int").alias("part")
+def part(turns: int | None) -> Column:
+    """Number of the part a turn is in; without a size of parts a session is one part."""
+    return (F.floor(F.col("turn") / turns).cast("int") if turns else F.lit(0)).alias("part")
 
 
 def nest_conversations(conversations: DataFrame, users: DataFrame, messages: DataFrame, models: DataFrame,
-                       part_turns: int = PART_TURNS) -> DataFrame:
+                       part_turns: int | None = None) -> DataFrame:
     """Conversations with their user and ordered messages, each with its model when it has one."""
     detailed = messages.join(models, "model_id", "left")
     nested = detailed.groupBy("session_id", part(part_turns)).agg(F.sort_array(F.collect_list(
@@ -165,7 +166,7 @@ def feedback_join(feedback: DataFrame, queries: DataFrame) -> tuple[DataFrame, D
 
 
 def render_chat(messages: DataFrame, template: str = "<|{role}|>{content}<|end|>",
-                part_turns: int = PART_TURNS) -> DataFrame:
+                part_turns: int | None = None) -> DataFrame:
     """Turns of a conversation in order as one string. ``template`` holds {role} and {content}."""
     head, rest = template.split("{role}")
     middle, tail = rest.split("{content}")
@@ -188,8 +189,8 @@ def session_summary(messages: DataFrame, width: int = 120) -> DataFrame:
         F.lit("; assistant replied: "), said("assistant", F.max_by)).alias("summary"))
 
 
-def session_documents(messages: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """One JSON document per session, or per part of a very long one."""
+def session_documents(messages: DataFrame, part_turns: int | None = None) -> DataFrame:
+    """One JSON document per session, or per part of ``part_turns`` turns where the caller asks for parts."""
     turns = F.sort_array(F.collect_list(F.struct("turn", "role", "content")))
     return messages.groupBy("session_id", part(part_turns)).agg(turns.alias("messages")).select(
         "session_id", "part", F.to_json(F.struct("session_id", "part", "messages")).alias("document"))

@@ -178,9 +178,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "messages": ([], """
         SELECT CAST(conv_id AS VARCHAR) AS session_id, conv_id, turn, role, text AS content,
                TIMESTAMP '2024-01-01' + to_seconds(conv_id * 3600 + turn * 60) AS created_at FROM conversations"""),
-    "terms": ([], """
-        SELECT item_id AS query_id, array_to_string(list_slice(string_split(
-                   trim(regexp_replace(text, '\\s+', ' ', 'g')), ' '), 1, 2), ' ') AS query FROM benchmark"""),
+    "terms": ([], "SELECT item_id AS query_id, text AS query FROM benchmark"),
     "query_vectors": ([], "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id < 10"),
     "corpus_vectors": ([], """
         SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label AS collection FROM embeddings WHERE vec_id >= 10"""),

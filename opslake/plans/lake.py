@@ -101,21 +101,25 @@ def _(spark, sf):
 
 
 @query("src_text_tree", oracle("source chars:i", """
-    SELECT source, sum(length(CAST(doc_id AS VARCHAR)) + 1 + length(lang) + 1) AS chars FROM documents GROUP BY 1"""))
+    SELECT source, sum(length(CAST(doc_id AS VARCHAR)) + 1 + length(text) + 1) AS chars FROM documents GROUP BY 1"""))
 def _(spark, sf):
     path = shared_dir(spark, "tree")
-    src.table(spark, sf, "documents").select("source", F.concat_ws("|", "doc_id", "lang").alias("value")).write.partitionBy(
+    src.table(spark, sf, "documents").select("source", F.concat_ws("|", "doc_id", "text").alias("value")).write.partitionBy(
         "source").text(path)
     found = files.read_text_tree(spark, path)
     return found.groupBy(F.regexp_extract("source", "source=([^/]+)/", 1).alias("source")).agg(
         F.sum(F.length("text")).alias("chars"))
 
 
-@query("flatten_api_json", oracle("title typeName", "SELECT 'Act ' || CAST(doc_id AS VARCHAR) AS title, lang AS typeName FROM documents"))
+@query("flatten_api_json", oracle(
+    "id title typeName status acceptDate number", """
+    SELECT doc_id AS id, 'Act ' || CAST(doc_id AS VARCHAR) AS title, lang AS typeName, 'valid' AS status,
+           '2024-01-01' AS acceptDate, source AS number FROM documents"""))
 def _(spark, sf):
     item = F.struct(
         F.col("doc_id").alias("id"), F.concat(F.lit("Act "), F.col("doc_id").cast("string")).alias("title"),
-        F.col("lang").alias("typeName"), F.lit("valid").alias("status"), F.lit("2024-01-01").alias("acceptDate"))
+        F.col("lang").alias("typeName"), F.lit("valid").alias("status"), F.lit("2024-01-01").alias("acceptDate"),
+        F.col("source").alias("number"), F.col("doc_id").alias("rowNum"), F.lit("x").alias("citation"))
     responses = src.table(spark, sf, "documents").groupBy(F.floor(F.col("doc_id") / 100)).agg(
         F.collect_list(item).alias("data")).select(F.to_json(F.struct("data")).alias("body"))
     return files.flatten_api(responses)

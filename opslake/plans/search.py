@@ -147,9 +147,10 @@ def _(spark, sf):
 
 
 @query("index_status", oracle("collection:i points:i vectors:i", """
-    SELECT collection, count(*) AS points, count(v) AS vectors FROM corpus_vectors GROUP BY 1""", "corpus_vectors"))
+    SELECT label AS collection, count(*) AS points, count(embedding) AS vectors FROM embeddings GROUP BY 1"""))
 def _(spark, sf):
-    return vectors.index_status(src.corpus_vectors(spark, sf))
+    stored = src.table(spark, sf, "embeddings").select(F.col("label").alias("collection"), F.col("embedding").alias("vector"))
+    return vectors.index_status(stored)
 
 
 @query("ann_candidates")

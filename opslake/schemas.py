@@ -33,8 +33,9 @@ DEVICES = (
 MANUALS = "id string, title string, content string, text string, device_id string, severity string"
 LOG_LINE = "timestamp string, service string, level string, message string"
 API_RESPONSE = (
-    "data array<struct<id:bigint,title:string,typeName:string,status:string,acceptDate:string,"
-    "number:string,rowNum:bigint>>"
+    "data array<struct<id:bigint,title:string,typeName:string,status:string,acceptDate:string,number:string,"
+    "rowNum:bigint,citation:string,effectDate:string,registerCode:string,registerDate:string,htmlPath:string,"
+    "fields:string,relation:string,classCodes:string>>"
 )
 TIMING_PAYLOAD = "stage string, started_at_ms double, completed_at_ms double, duration_ms double"
 CORPUS = "url string, type string, name string, text string"

@@ -42,6 +42,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), f"opslake-{os.getpid()}")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from opslake import schemas
 
 # Columns of the listing response that are not kept.
-API_DROPPED = ["id", "status", "acceptDate", "number", "rowNum"]
+API_DROPPED = ["rowNum", "citation", "effectDate", "registerCode", "registerDate", "htmlPath", "fields", "relation",
+               "classCodes"]
 
 
 def parse_telemetry(lines: DataFrame, as_of: str | None = None) -> DataFrame:

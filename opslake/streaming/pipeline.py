@@ -156,10 +156,14 @@ def log_lines(lines: DataFrame) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that reached the state behind the watermark and were dropped, over the micro-batches kept in progress.
+    """Rows that reached the state behind the watermark and were dropped.
 
-    In a windowed count these are partial aggregates, one per late window and key.
+    In a windowed count these are partial aggregates, one per late window and key. A query keeps the progress of its last
+    micro-batches only; where older ones may be gone the sum would be too small, so that is an error.
     """
+    kept = int(SparkSession.getActiveSession().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(query.recentProgress) >= kept:
+        raise RuntimeError("progress is incomplete: raise spark.sql.streaming.numRecentProgressUpdates")
     return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress
                for s in json.loads(p.json if isinstance(p.json, str) else json.dumps(p))["stateOperators"])
 

@@ -172,3 +172,20 @@ def test_vocabulary_order(spark):
     got = corpus.build_vocab(docs(spark, "b b a a c ##x ##x ##x"), min_count=2).orderBy("token_id").collect()
     assert [r.token for r in got] == [*tx.SPECIAL_TOKENS, "a", "b"]
     assert re.fullmatch(r"\d+", str(got[-1].token_id))
+
+
+def test_both_ways_of_keyword_search_give_the_same_rows(spark):
+    rows = [(1, "Alpha beta"), (1, "alpha BETA gamma"), (None, "beta alpha beta"), (2, None), (1, "Alpha beta")]
+    corpus_rows = spark.createDataFrame(rows, "doc_id bigint, text string")
+    queries = spark.createDataFrame([(1, "alpha beta"), (2, "a"), (2, "a"), (3, "gamma"), (4, "")], "query_id int, query string")
+
+    def found(**options):
+        return sorted(map(str, search.keyword_search(corpus_rows, queries, **options).collect()))
+
+    assert found() == found(literal_queries=0) and len(found()) == 4 + 4 + 1
+
+
+def test_many_labels_in_a_chain_settle(spark):
+    labels = spark.createDataFrame([(f"{i:03}",) for i in range(70)], "label string")
+    pairs = spark.createDataFrame([(f"{i:03}", f"{i + 1:03}") for i in range(69)], "a string, b string")
+    assert {r.representative for r in fuzzy.connected(labels, pairs).collect()} == {"000"}
