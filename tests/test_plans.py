@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from opslake import registry
 
 SF = "/root/testdata/sf0.001"
 # Queries that write files or run streams when built; their result is a plain scan.
@@ -14,15 +14,15 @@ PYTHON = {"normalize_unicode", "chunk_unique_words", "chunk_sentences", "chunk_o
 
 
 def builder(key):
-    return entry.queries()[key].__closure__[0].cell_contents
+    return registry.queries()[key].__closure__[0].cell_contents
 
 
-KEYS = [k for k in entry.queries() if builder(k).__module__ not in SIDE_EFFECTS and k != "fuzzy_groups"]
+KEYS = [k for k in registry.queries() if builder(k).__module__ not in SIDE_EFFECTS and k != "fuzzy_groups"]
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_plan(spark, key):
-    plan = entry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = registry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
     if key not in PYTHON:
@@ -31,12 +31,12 @@ def test_plan(spark, key):
 
 
 def test_scan_is_pruned_and_filtered(spark):
-    plan = entry.queries()["recent_telemetry"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = registry.queries()["recent_telemetry"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "TakeOrderedAndProject" in plan
-    narrow = entry.queries()["severity_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    narrow = registry.queries()["severity_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "user_id" not in narrow.split("ReadSchema:")[1]
 
 
 def test_top_n_is_limited_before_the_shuffle(spark):
-    plan = entry.queries()["last_n_messages"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = registry.queries()["last_n_messages"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from opslake import registry
 
 SF = f"{compare.DATA}/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
