@@ -229,3 +229,16 @@ def test_pipeline_against_plain_versions(spark):
     n = check_sequences(rows, 2048)
     assert n <= 1.02 * sum(r.length for r in rows) / 2048 + 1
     assert len(steps) == 5
+
+
+def test_decontamination_equals_its_sql(spark):
+    import compare
+
+    key = "op10_decontamination"
+    assert compare.compare(spark, compare.connect(SF), key, entry.queries()[key], entry.oracle_sql()[key], SF) is None
+
+
+def test_native_plan_has_no_python(spark):
+    frame = entry.queries()["op10_decontamination"](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
