@@ -147,12 +147,18 @@ def search_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").where("vec_id < 10").select(
+    """Every twentieth vector is a query; all vectors are searched."""
+    return table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0").select(
         F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
 
 
+def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vector for every benchmark item: the one with the item's number."""
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
 def corpus_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").where("vec_id >= 10").select(
+    return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label").alias("collection"))
 
 

@@ -173,21 +173,26 @@ def ann_candidates(queries: DataFrame, corpus: DataFrame, k: int, cells: int = 8
 
     Cells are k-means centroids. Rows are not moved to their cell: each task scores its own rows
     for the queries that probe their cell, so a cell holding a third of the rows stays spread out.
-    Takes a bounded query table; larger ones go to the exact search.
+    Queries are taken in blocks of about ``shared_queries`` by a hash of their id, each a pass over the rows.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    head = queries.select("query_id", "vector").where(F.col("vector").isNotNull()).limit(shared_queries + 1).collect()
-    if len(head) > shared_queries:
-        return nearest(queries, corpus, k, shared_queries=shared_queries)
+    asked = queries.select("query_id", "vector").where(F.col("vector").isNotNull())
+    blocks = max(1, -(-asked.count() // shared_queries))
     featured = corpus.select("id", "vector", array_to_vector("vector").alias("features"))
     model = KMeans(k=cells, seed=seed, featuresCol="features", predictionCol="cell", maxIter=10).fit(featured)
     centres = np.array(model.clusterCenters())
-    matrix = np.array([r.vector for r in head], dtype=np.float64)
-    gaps = ((matrix[:, None, :] - centres[None, :, :]) ** 2).sum(2)
-    chosen = np.zeros_like(gaps, dtype=bool)
-    np.put_along_axis(chosen, np.argsort(gaps, axis=1)[:, :probe], True, axis=1)
     rows = model.transform(featured).select("id", "vector", "cell")
-    local = _nearest_shared(head, rows, k, "cosine", None, probes=chosen)
+    local = None
+    for block in range(blocks):
+        head = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).collect()
+        if not head and (block or blocks > 1):
+            continue
+        matrix = np.array([r.vector for r in head], dtype=np.float64).reshape(len(head), centres.shape[1])
+        gaps = ((matrix[:, None, :] - centres[None, :, :]) ** 2).sum(2)
+        chosen = np.zeros_like(gaps, dtype=bool)
+        np.put_along_axis(chosen, np.argsort(gaps, axis=1)[:, :probe], True, axis=1)
+        part = _nearest_shared(head, rows, k, "cosine", None, probes=chosen)
+        local = part if local is None else local.unionByName(part)
     return top_per_key(local, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="rank")

@@ -179,9 +179,10 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT CAST(conv_id AS VARCHAR) AS session_id, conv_id, turn, role, text AS content,
                TIMESTAMP '2024-01-01' + to_seconds(conv_id * 3600 + turn * 60) AS created_at FROM conversations"""),
     "terms": ([], "SELECT item_id AS query_id, text AS query FROM benchmark"),
-    "query_vectors": ([], "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id < 10"),
+    "query_vectors": ([], "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id % 20 = 0"),
+    "item_vectors": ([], "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings"),
     "corpus_vectors": ([], """
-        SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label AS collection FROM embeddings WHERE vec_id >= 10"""),
+        SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label AS collection FROM embeddings"""),
     "chunks": ([], f"""
         SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, n_chunks,
                array_to_string(list_slice(words, i * 96 + 1, i * 96 + 128), ' ') AS text

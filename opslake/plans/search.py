@@ -18,10 +18,10 @@ VIEWS["scores"] = (["query_vectors", "corpus_vectors"], """
 VIEWS["keyword_hits"] = (["terms", "corpus"], """
     SELECT query_id, query, doc_id, url, name, text FROM terms JOIN corpus ON contains(lower(text), lower(query))
     WHERE length(query) > 0""")
-VIEWS["search_queries"] = (["terms", "query_vectors"], """
-    SELECT t.query_id, trim(regexp_replace(t.query, '[\\d!?.,;]*$', '')) AS query FROM terms t JOIN query_vectors v
+VIEWS["search_queries"] = (["terms", "item_vectors"], """
+    SELECT t.query_id, trim(regexp_replace(t.query, '[\\d!?.,;]*$', '')) AS query FROM terms t JOIN item_vectors v
         ON v.query_id = t.query_id""")
-VIEWS["hybrid"] = (["search_queries", "query_vectors", "corpus_vectors", "corpus"], """
+VIEWS["hybrid"] = (["terms", "search_queries", "item_vectors", "corpus_vectors", "corpus"], """
     SELECT query_id, doc_id, url, name, text, part, place FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id, text, url, name ORDER BY part, place, doc_id) AS rn FROM (
             SELECT q.query_id, c.doc_id, c.url, c.name, c.text, 0 AS part, CAST(c.doc_id AS DOUBLE) AS place
@@ -32,7 +32,8 @@ VIEWS["hybrid"] = (["search_queries", "query_vectors", "corpus_vectors", "corpus
                     SELECT q.query_id, c.*, round(list_cosine_similarity(q.q, v.v), 6) AS score
                     FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS copy
                           FROM corpus JOIN corpus_vectors ON id = doc_id) c
-                    JOIN corpus_vectors v ON v.id = c.doc_id, query_vectors q WHERE c.copy = 1)
+                    JOIN corpus_vectors v ON v.id = c.doc_id, item_vectors q JOIN terms t ON t.query_id = q.query_id
+                    WHERE c.copy = 1)
                 WHERE score >= 0.2) WHERE place_no <= 20)) WHERE rn = 1""")
 
 
@@ -185,7 +186,7 @@ def _(spark, sf):
 
 
 def hybrid(spark, sf, k=20, keyword_limit=None):
-    asked = src.search_terms(spark, sf).join(src.query_vectors(spark, sf), "query_id")
+    asked = src.search_terms(spark, sf).join(src.item_vectors(spark, sf), "query_id")
     embedded = src.corpus_vectors(spark, sf).select(F.col("id").alias("doc_id"), "vector")
     corpus = src.corpus(spark, sf).join(embedded, "doc_id", "left")
     return search.hybrid_search(asked, corpus, k, threshold=0.2, keyword_limit=keyword_limit)
@@ -222,7 +223,8 @@ def setting(number: int, k: int, limit: str) -> str:
                     PARTITION BY query_id ORDER BY score DESC, doc_id) AS n FROM (
                 SELECT q.query_id, c.doc_id, c.text, round(list_cosine_similarity(q.q, c.v), 6) AS score
                 FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS copy
-                      FROM corpus JOIN corpus_vectors ON id = doc_id) c, query_vectors q WHERE c.copy = 1)
+                      FROM corpus JOIN corpus_vectors ON id = doc_id) c, item_vectors q JOIN terms t
+                    ON t.query_id = q.query_id WHERE c.copy = 1)
                 WHERE score >= 0.2) WHERE n <= {k})) GROUP BY query_id"""
 
 
@@ -233,7 +235,7 @@ STEPS = " UNION ALL ".join(setting(i, k, str(n or 1000000000)) for i, (k, n) in
     SELECT s.*, total_tokens > 4000 AS over_budget FROM ({STEPS}) s JOIN (
         SELECT query_id, coalesce(min(setting) FILTER (WHERE total_tokens <= 4000), 3) AS setting
         FROM ({STEPS}) GROUP BY query_id) USING (query_id, setting)""",
-    "search_queries", "corpus", "query_vectors", "corpus_vectors"))
+    "terms", "search_queries", "corpus", "item_vectors", "corpus_vectors"))
 def _(spark, sf):
     tried = [(i, hybrid(spark, sf, k, n).select("query_id", "text")) for i, (k, n) in enumerate(search.SCHEDULE)]
     return search.schedule_budget(tried, tx.word_count(F.col("text")), 4000)
