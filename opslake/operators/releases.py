@@ -109,6 +109,7 @@ def decide(pairs: DataFrame, criteria: Criteria | None = None) -> DataFrame:
     ge, gq, gl = (metric(f"green_{m}") for m in ("error_rate", "quality_score", "latency_p99_ms"))
     moved, gain = metric("drift_score"), gq - bq
     marginal = (ge <= be) & (gl <= bl)
+    # The sentences of the rationale.
     gates = [
         (ge > c.max_error_rate, "rollback_to_blue",
          F.format_string(f"Green error rate %.3f exceeds max {c.max_error_rate}", ge)),
@@ -123,9 +124,9 @@ def decide(pairs: DataFrame, criteria: Criteria | None = None) -> DataFrame:
                             "(blue=%.3f, green=%.3f)", gain, bq, gq),
             F.when(marginal, "; Green is not worse on error/latency, but quality gain is marginal").otherwise(""))),
         (ge > be * c.error_factor, "hold_for_review",
-         F.format_string("Green error rate %.3f is >1.5x blue (%.3f)", ge, be)),
+         F.format_string(f"Green error rate %.3f is >{c.error_factor}x blue (%.3f)", ge, be)),
         (gl > bl * c.latency_factor, "hold_for_review",
-         F.format_string("Green latency %.1fms is >1.3x blue (%.1fms)", gl, bl)),
+         F.format_string(f"Green latency %.1fms is >{c.latency_factor}x blue (%.1fms)", gl, bl)),
     ]
     decision, why = F.lit("switch_to_green"), F.format_string(
         "Green passes all gates: quality=%.3f (+%.3f), error_rate=%.3f, p99=%.1fms, drift=%.3f", gq, gain, ge, gl, moved)

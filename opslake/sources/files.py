@@ -100,9 +100,12 @@ def file_number(name: Column) -> Column:
 def read_text_tree(spark: SparkSession, root: str, pattern: str = "*.{md,txt}") -> DataFrame:
     """(source, text) of every text file below a folder, the source relative to it."""
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
-    base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(place).toUri().getPath().rstrip("/")
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return files.select(F.substring_index(path, f"{base}/", -1).alias("source"), F.col("value").alias("text"))
+    inside = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return files.select(F.substr(inside, F.lit(len(base) + 2)).alias("source"), F.col("value").alias("text"))
 
 
 def flatten_api(responses: DataFrame) -> DataFrame:

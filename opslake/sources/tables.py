@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,7 +67,19 @@ def write_session_archive(documents: DataFrame, path: str, shares: int = 16) ->
 def rebuild_days(source: DataFrame, changed_days: DataFrame, build, path: str, time: str) -> None:
     """Recompute the mart partitions of changed days only.
 
-    ``changed_days`` has one column ``dt``; ``build`` turns source rows into mart rows with ``dt``.
+    ``changed_days`` has one column ``dt``, a short list of days; they become a filter on ``time`` that reaches the source's
+    files. ``build`` turns source rows into mart rows with ``dt``. A changed day without rows loses its partition.
     """
-    touched = source.withColumn("dt", F.to_date(time)).join(changed_days.distinct(), "dt", "left_semi").drop("dt")
-    replace_partitions(build(touched), path, ["dt"])
+    days = sorted(r.dt for r in changed_days.select(F.to_date("dt").alias("dt")).where("dt IS NOT NULL").distinct().collect())
+    if not days:
+        return
+    day = F.col(time).cast("date")
+    first, after = F.lit(days[0]).cast("timestamp"), F.lit(days[-1] + timedelta(days=1)).cast("timestamp")
+    touched = source.where((F.col(time) >= first) & (F.col(time) < after) & day.isin(days))
+    built = build(touched)
+    replace_partitions(built, path, ["dt"])
+    filled = {str(r.dt) for r in built.select("dt").distinct().collect()}
+    spark = source.sparkSession
+    for gone in (d for d in days if str(d) not in filled):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={gone}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

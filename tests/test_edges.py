@@ -5,8 +5,8 @@ import math
 from pyspark.sql import functions as F
 
 from opslake.functions.quantiles import exact_quantiles
-from opslake.operators import sessions
-from opslake.sources import files
+from opslake.operators import releases, sessions
+from opslake.sources import files, tables
 
 
 def test_quantiles_with_nan_and_infinities(spark):
@@ -37,3 +37,33 @@ def test_api_rows_keep_what_addresses_a_document(spark):
     body = '{"data":[{"id":7,"title":"t","typeName":"law","status":"valid","acceptDate":"2020","number":"1","rowNum":3}]}'
     row = files.flatten_api(spark.createDataFrame([(body,)], "body string")).first()
     assert row.asDict() == {"id": 7, "title": "t", "typeName": "law", "status": "valid", "acceptDate": "2020", "number": "1"}
+
+
+def test_a_changed_day_without_rows_loses_its_partition(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    rows = spark.createDataFrame([("2024-01-01 10:00:00", 1), ("2024-01-02 00:00:00", 2), ("2024-01-03 23:59:59", 3)],
+                                 "ts string, n int").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def build(source):
+        return source.groupBy(F.to_date("ts").alias("dt")).agg(F.sum("n").alias("n"))
+
+    days = spark.createDataFrame([("2024-01-01",), ("2024-01-02",), ("2024-01-03",)], "dt string")
+    tables.rebuild_days(rows, days, build, path, "ts")
+    tables.rebuild_days(rows.where("n <> 2").withColumn("n", F.col("n") * 10), days.where("dt < '2024-01-03'"), build, path, "ts")
+    assert {(str(r.dt), r.n) for r in spark.read.parquet(path).collect()} == {("2024-01-01", 10), ("2024-01-03", 3)}
+
+
+def test_text_tree_cuts_its_own_root_only(spark, tmp_path, monkeypatch):
+    (tmp_path / "docs/sub/docs").mkdir(parents=True)
+    (tmp_path / "docs/sub/docs/y.md").write_text("propulsion")
+    monkeypatch.chdir(tmp_path)
+    for root in (str(tmp_path / "docs"), f"file://{tmp_path}/docs/"):
+        assert [tuple(r) for r in files.read_text_tree(spark, root).collect()] == [("sub/docs/y.md", "propulsion")]
+
+
+def test_rationale_names_the_given_factors(spark):
+    row = spark.createDataFrame([(0.01, 0.8, 100.0, 0.04, 0.9, 100.0, 0.0)], "blue_error_rate double, blue_quality_score double, "
+                                "blue_latency_p99_ms double, green_error_rate double, green_quality_score double, "
+                                "green_latency_p99_ms double, drift_score double")
+    got = releases.decide(row, releases.Criteria(max_error_rate=0.5, error_factor=2.5)).first()
+    assert got.decision == "hold_for_review" and ">2.5x" in got.rationale
