@@ -321,12 +321,10 @@ def _(spark, sf):
 
 @query("micro_batch_rollup", oracle("n:i", "SELECT count(*) AS n FROM telemetry", "telemetry"))
 def _(spark, sf):
-    # Each micro-batch of several files is rolled into few files of a bounded number of rows.
+    # Each micro-batch of several files is rolled into files of the advisory size.
     path = shared_dir(spark, "rolled")
-    stream = st.parsed(st.file_lines(spark, staged(spark, sf), 4)).repartition(2)
-    writer = stream.writeStream.format("parquet").option("path", path).option("maxRecordsPerFile", 5_000_000).option(
-        "checkpointLocation", f"{path}-ckpt").trigger(availableNow=True)
-    writer.start().awaitTermination()
+    stream = st.parsed(st.file_lines(spark, staged(spark, sf), 4))
+    st.for_each_batch(stream, f"{path}-ckpt", lambda batch, i: st.one_sink(path)(batch.hint("rebalance"), i))
     return spark.read.schema(schemas.TELEMETRY).parquet(path).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -382,9 +380,11 @@ def _(spark, sf):
     kind = "session_id string, turn bigint, role string, content string, created_at timestamp"
     src.messages(spark, sf).select("session_id", "turn", "role", "content", "created_at").write.json(lines)
     history = st.session_history(spark.readStream.schema(kind).json(lines), keep=3)
-    st.for_each_batch(history, f"{path}-ckpt", lambda b, i: b.write.mode("append").parquet(path), mode="update")
-    rows = spark.read.schema("session_id string, messages bigint, first_turn bigint, last_turn bigint").parquet(path)
-    return rows
+    st.for_each_batch(history, f"{path}-ckpt", st.one_sink(path), mode="update")
+    rows = spark.read.schema(
+        "session_id string, messages bigint, first_turn bigint, last_turn bigint, batch_id bigint").parquet(path)
+    newest = rows.groupBy("session_id").agg(F.max_by(F.struct("messages", "first_turn", "last_turn"), "batch_id").alias("r"))
+    return newest.select("session_id", "r.*")
 
 
 @query("stream_threshold_alerts", oracle("alert_id device_id severity timestamp:t", "SELECT * FROM alerts", "alerts"))

@@ -95,6 +95,15 @@ def for_each_batch(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame,
     return query
 
 
+def one_sink(path: str) -> Callable:
+    """Batch handler that gives each micro-batch a ``batch_id`` partition, which a repeat overwrites."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+    return write
+
+
 def two_sinks(first: str, second: str, second_view: Callable[[DataFrame], DataFrame]) -> Callable:
     """Batch handler: one read, two tables.
 
