@@ -29,6 +29,8 @@ POOL_BITS = 14
 #: Added to the share of documents that hold a shingle before its inverse is taken. Rare shingles then weigh alike, so
 #: that the copies of a text do not make its own shingles light, and those of boilerplate weigh a fraction of them.
 SHARE_FLOOR = 0.1
+#: Parts of a sketch row that are merged apart.
+SLICES = 16
 #: Elements of the sampling matrix that are worked on at once.
 CHUNK = 40_000
 
@@ -63,27 +65,29 @@ def frequencies(docs: DataFrame, text: str, size: int, bits: int):
             for row, total in enumerate(totals):
                 total += np.bincount(cells(shingle, row, bits), minlength=len(total))
         if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(totals)), pa.int32()), pa.array([n] * len(totals), pa.int64()),
-                 pa.array([t.astype(np.int32).tobytes() for t in totals])], ["row", "n", "totals"])
+            parts = [(row, i, n, part.astype(np.int32).tobytes())
+                     for row, total in enumerate(totals) for i, part in enumerate(np.split(total, SLICES))]
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*parts), (
+                pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["row", "slice", "n", "totals"])
 
     def merge(batches):
-        sums: dict[int, np.ndarray] = {}
-        counted: dict[int, int] = {}
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        counted: dict[tuple[int, int], int] = {}
         for batch in batches:
-            for row, n, total in zip(*(c.to_pylist() for c in batch.columns)):
-                sums[row] = sums.get(row, 0) + np.frombuffer(total, np.int64 if len(total) > 4 << bits else np.int32
-                                                             ).astype(np.int64)
-                counted[row] = counted.get(row, 0) + n
-        for row, total in sums.items():
+            for row, i, n, total in zip(*(c.to_pylist() for c in batch.columns)):
+                sums[row, i] = sums.get((row, i), 0) + np.frombuffer(total, np.int32).astype(np.int64)
+                counted[row, i] = counted.get((row, i), 0) + n
+        for (row, i), total in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row], pa.int32()), pa.array([counted[row]], pa.int64()), pa.array([total.tobytes()])],
-                ["row", "n", "totals"])
+                [pa.array([row], pa.int32()), pa.array([i], pa.int32()), pa.array([counted[row, i]], pa.int64()),
+                 pa.array([total.tobytes()])], ["row", "slice", "n", "totals"])
 
-    schema = "row int, n bigint, totals binary"
+    schema = "row int, slice int, n bigint, totals binary"
     found, n = [np.zeros(1 << bits, np.int64) for _ in ROWS], 0
-    for r in docs.select(text).mapInArrow(count, schema).repartition("row").mapInArrow(merge, schema).toLocalIterator():
-        found[r.row], n = np.frombuffer(r.totals, np.int64), r.n
+    merged = docs.select(text).mapInArrow(count, schema).repartition("row", "slice").mapInArrow(merge, schema)
+    for r in merged.toLocalIterator():
+        total, n = np.frombuffer(r.totals, np.int64), r.n
+        found[r.row][r.slice * len(total):(r.slice + 1) * len(total)] = total
     return docs.sparkSession.sparkContext.broadcast((n, found))
 
 
@@ -213,11 +217,11 @@ def links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, thr
         F.max(~F.col("match") & (F.col("similarity") >= far)).alias("grey"), F.count_if(~F.col("match")).alias("open"))
     live = seen.join(state.where("low < high AND (grey OR open > 1)"), "key").where(
         ~F.col("match") | F.col("grey")).select("key", "band", "node").checkpoint()
-    for first in range(1, bands, 3):
+    for first, last in ((1, bands // 2), (bands // 2, bands)):
         if live.isEmpty():
             break
         others = F.array(*[F.xxhash64("key", F.get("bands", (F.col("band") + step) % bands))
-                           for step in range(first, min(first + 3, bands))])
+                           for step in range(first, last)])
         both = live.join(nodes.select("node", "bands"), "node").select("node", F.explode(others).alias("key"))
         pairs = led(both, first).select("node", "leader").distinct()
         for end in ("node", "leader"):
@@ -244,7 +248,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float
     each = signed(named, size, bands, rows, seed, known).checkpoint()
     nodes = each.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("k", "h")).alias("r"), F.min("doc_id").alias("id"), F.count("*").alias("n"),
-        F.first("bands").alias("bands"))
+        F.first("bands").alias("bands")).checkpoint()
     exploded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = exploded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = exploded.join(shared, "key").checkpoint()
@@ -264,7 +268,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
-                    threshold: float = 0.8, bands: int = 14, rows: int = 3, sketch_bits: int = 18, seed: int = 11
+                    threshold: float = 0.8, bands: int = 14, rows: int = 3, sketch_bits: int = 16, seed: int = 11
                     ) -> DataFrame:
     """doc_id, class_id, class_size of every row: the smallest id of its class of near duplicates, and its rows.
 
@@ -278,7 +282,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8,
-               bands: int = 14, rows: int = 3, sketch_bits: int = 18, seed: int = 11) -> DataFrame:
+               bands: int = 14, rows: int = 3, sketch_bits: int = 16, seed: int = 11) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the one with the smallest id stays, with all columns.
 
     Of rows that repeat id and text one stays; texts without words all stay.
