@@ -20,8 +20,8 @@ UNITS = ("km m cm mm kg g mg l ml s ms h min hours hour minutes minute seconds s
          "years year miles mile meters meter metres metre grams gram liters litres dollars euros cents percent degrees")
 #: A private-use character marks a slot; its type follows: n, u or p for number, unit or name.
 MARK = "\ue000"
-#: Above so many rows the benchmark's windows are joined by a shuffle.
-SHARED_ROWS = 1_000_000
+#: A table of more windows than this is joined by a shuffle and not shared; one window takes some 24 bytes.
+SHARED_WINDOWS = 1_000_000
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -93,9 +93,10 @@ def questions(benchmark: DataFrame, window: int, least_literal: float, item_id:
         "item").groupBy("size", "hash", "pattern").agg(F.min("item").alias("item"))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """The stored frame, marked to be shared if its checked size allows it."""
-    return F.broadcast(df) if df.limit(SHARED_ROWS + 1).count() <= SHARED_ROWS else df
+def small(df: DataFrame, windows_of: Column | None = None) -> DataFrame:
+    """The stored frame, marked to be shared if its counted windows (or rows) allow it."""
+    total = df.agg(F.sum(F.lit(1) if windows_of is None else windows_of)).first()[0] or 0
+    return F.broadcast(df) if total <= SHARED_WINDOWS else df
 
 
 def matches(named: DataFrame, benchmark: DataFrame, window: int, least_literal: float, item_id: str, item_text: str
@@ -113,7 +114,7 @@ def matches(named: DataFrame, benchmark: DataFrame, window: int, least_literal:
         met = rows.join(known.where(F.col("size") == size), "hash").select("k", "h", "size", "place", "hash")
         found = met if found is None else found.unionByName(met)
     met = found.groupBy("k", "h").agg(F.collect_set(F.struct("size", "place", "hash")).alias("met")).checkpoint()
-    words = slots.join(small(met), ["k", "h"]).withColumn("words", tokens(F.col("slots"))).dropDuplicates(["k", "h"])
+    words = slots.join(small(met, F.size("met")), ["k", "h"]).withColumn("words", tokens(F.col("slots"))).dropDuplicates(["k", "h"])
     checked = words.select("k", "h", F.explode(let(F.col("words"), lambda w: F.transform("met", lambda m: F.struct(
         m["size"].alias("size"), m["hash"].alias("hash"), m["place"].alias("place"),
         pattern(F.slice(w, m["place"] + 1, m["size"])).alias("pattern"))))).alias("m"))
