@@ -10,8 +10,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -139,11 +140,12 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = encoded(batch.column(column))
-        share = np.cumsum([len(t) for t in texts]) // most
-        cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        share = np.cumsum(sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(sizes)]
         for a, b in zip(cuts, cuts[1:]):
-            yield batch.slice(a, b - a), Block(texts[a:b])
+            part = batch.slice(a, b - a)
+            yield part, Block(encoded(part.column(column)))
 
 
 def anchors(h: np.ndarray, width: int) -> np.ndarray:
