@@ -6,7 +6,9 @@ with a quantised weight; two documents draw the same with the probability of the
 Documents that share a band are compared with a leader of the band, not with each other: the similarity's distance is a
 metric, so whoever is far from the leader cannot be near its copies, and whoever is in one class need not be compared.
 What these two rules leave open is divided by a second band and compared with leaders of those, so that a large group
-costs a number of comparisons in proportion to its members.
+costs a number of comparisons in proportion to its members. What is open even then meets on rare shingles: two texts can
+only reach the threshold if the first shingle they share, rarest first, leaves both of them weight enough behind it. All
+pairs that meet so are verified.
 """
 
 from __future__ import annotations
@@ -33,6 +35,12 @@ SHARE_FLOOR = 0.1
 SLICES = 16
 #: Elements of the sampling matrix that are worked on at once.
 CHUNK = 40_000
+#: Room for rounding in the bounds of candidates; whoever passes is verified.
+SLACK = 1e-6
+#: Ratio of the limits of a class of total weights.
+STEP = 1.02
+#: Nodes of a key that are compared with each other at once.
+KEY_BLOCK = 500
 
 
 def shingles(block: Block, size: int):
@@ -197,12 +205,89 @@ def led(live: DataFrame, salt: int) -> DataFrame:
     return live.join(leader.select("key", F.col("l.node").alias("leader")), "key").where("node <> leader")
 
 
-def links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, threshold: float, bands: int, known
-          ) -> DataFrame:
-    """Verified (node, leader) links that join similar nodes of a band, directly or through others.
+def prefixes(mine: DataFrame, size: int, threshold: float, known, sketch_bits: int) -> DataFrame:
+    """Where texts (node, label, text) meet: rows of key, the two sides of the key the node is on, total and after.
+
+    Shingles are in one order for all texts, rarest among them first. ``after`` is the weight of a text from the shingle
+    on, ``total`` that of all. Similar texts of totals A and B share a weight of t / (1 + t) * (A + B) at least, so that
+    much is behind the first shingle they share, in both. Totals fall into classes (steps of ``STEP``), and a key is a
+    shingle with the classes of two texts: a text has those keys only that leave weight enough behind the shingle.
+    """
+    rarity = frequencies(mine, "text", size, sketch_bits)
+    need, least, step = threshold / (1 + threshold) * (1 - SLACK), threshold * (1 - SLACK), np.log(STEP)
+
+    def meet(batches):
+        for batch, block in blocks(batches):
+            _, _, shingle, doc, times = shingles(block, size)
+            weight = weights(shingle, times, known.value)
+            rows = rarity.value[1]
+            bits = len(rows[0]).bit_length() - 1
+            df = np.minimum.reduce([total[cells(shingle, row, bits)] for row, total in enumerate(rows)])
+            order = np.lexsort((shingle, df, doc))
+            shingle, doc, weight, df = shingle[order], doc[order], weight[order], df[order]
+            total = np.bincount(doc, weights=weight, minlength=len(block.texts))
+            after = np.cumsum(total)[doc] - np.cumsum(weight) + weight
+            # The sketch never counts too few: a shingle counted once is in no other text.
+            at = np.flatnonzero((df > 1) & (after >= least * total[doc]))
+            shingle, doc, after, total = shingle[at], doc[at], after[at], total[doc[at]]
+            own = np.floor(np.log(total) / step).astype(np.int64)
+            low = np.floor(np.log(total * least) / step).astype(np.int64)
+            high = np.floor(np.log(np.clip(after / need - total, 1e-300, total / least)) / step).astype(np.int64)
+            many = np.maximum(high - low + 1, 0)
+            each = np.repeat(np.arange(len(at)), many)
+            other = low[each] + np.arange(len(each)) - (np.cumsum(many) - many)[each]
+            own = own[each]
+            key = mix(shingle[each] + np.minimum(own, other).astype(np.uint64) * np.uint64(ROWS[0])
+                      + np.maximum(own, other).astype(np.uint64) * np.uint64(ROWS[1])).view(np.int64)
+            place = pa.array(doc[each])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(place), batch.column("label").take(place), pa.array(total[each]),
+                 pa.array(after[each]), pa.array(key), pa.array(own <= other), pa.array(own >= other)],
+                ["node", "label", "total", "after", "key", "lower", "upper"])
+
+    return mine.mapInArrow(meet, "node binary, label binary, total double, after double, key bigint, lower boolean, "
+                                 "upper boolean")
+
+
+def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, threshold: float, known,
+               sketch_bits: int) -> DataFrame:
+    """Distinct (node, leader) of live nodes that share a band, have different labels and may be similar.
+
+    A key of many nodes is divided into blocks of ``KEY_BLOCK`` nodes, and each block of one side meets each of the other.
+    """
+    keys = live.groupBy("node").agg(F.collect_set("key").alias("keys")).checkpoint()
+    mine = keys.select("node").join(label, "node", "left").join(texts, "node").select(
+        "node", F.coalesce("label", "node").alias("label"), "text").checkpoint()
+    rows = prefixes(mine, size, threshold, known, sketch_bits).checkpoint()
+    sides = rows.groupBy("key").agg(
+        F.count_if("lower").alias("lows"), F.count_if("upper").alias("highs"), F.count("*").alias("n"))
+    sides = sides.where("lows > 0 AND highs > 0 AND n > 1").select(
+        "key", F.ceil(F.col("lows") / KEY_BLOCK).alias("cuts"), F.ceil(F.col("highs") / KEY_BLOCK).alias("splits"))
+    met = rows.join(sides, "key").checkpoint()
+    zero = F.lit(0).cast("bigint")
+    one = met.where("lower").select(
+        "key", "node", "label", "total", "after", F.pmod(F.xxhash64("node"), F.col("cuts")).alias("cut"),
+        F.explode(F.sequence(zero, F.col("splits") - 1)).alias("split"), "upper")
+    two = met.where("upper").select(
+        "key", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("total").alias("leader_total"),
+        F.col("after").alias("leader_after"), F.pmod(F.xxhash64("node"), F.col("splits")).alias("split"),
+        F.explode(F.sequence(zero, F.col("cuts") - 1)).alias("cut"))
+    wanted = threshold / (1 + threshold) * (1 - SLACK) * (F.col("total") + F.col("leader_total"))
+    # Nodes of one class are on both sides; each pair of them counts once.
+    pairs = one.join(two, ["key", "cut", "split"]).where(
+        (F.col("label") != F.col("leader_label")) & (~F.col("upper") | (F.col("node") < F.col("leader")))
+        & (F.col("after") >= wanted) & (F.col("leader_after") >= wanted)).select("node", "leader").distinct()
+    return pairs.join(keys, "node").join(keys.toDF("leader", "leader_keys"), "leader").where(
+        F.arrays_overlap("keys", "leader_keys")).select("node", "leader").checkpoint()
+
+
+def links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, threshold: float, bands: int, known,
+          sketch_bits: int) -> DataFrame:
+    """Node and label of its class, where verified links join all similar nodes of a band, directly or through others.
 
     First every node of a band is compared with one leader. Where that leaves nodes of several classes open, those that
-    share a second band as well are compared with a leader of their own, for each second band in turn.
+    share a second band as well are compared with a leader of their own, for each second band in turn. All pairs that
+    may be similar among what is then still open are verified.
     """
     far = 1 - 2 * (1 - threshold)
     asked = led(members, 0).checkpoint()
@@ -236,6 +321,11 @@ def links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, thr
         classed = live.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         several = classed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         live = live.join(several.select("key"), "key").checkpoint()
+    if not live.isEmpty():
+        pairs = rare_pairs(live, label, texts, size, threshold, known, sketch_bits)
+        new = verified(pairs, texts, size, known).where(F.col("similarity") >= threshold).select("node", "leader").checkpoint()
+        if not new.isEmpty():
+            label = components(found.unionByName(new), "node", "leader")
     return label
 
 
@@ -255,7 +345,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float
     involved = members.select("node").distinct().join(nodes.select("node", "r.k", "r.h"), "node")
     texts = named.select("k", "h", "text").join(involved, ["k", "h"]).groupBy("node").agg(
         F.first("text").alias("text")).checkpoint()
-    label = links(members, nodes, texts, size, threshold, bands, known)
+    label = links(members, nodes, texts, size, threshold, bands, known, sketch_bits)
     labelled = nodes.drop("bands").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     total = labelled.groupBy("label").agg(
         F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min("r").alias("least"))

@@ -163,6 +163,25 @@ def test_near_duplicates_of_awkward_rows(spark, docs):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [-14, 1, 3, 4, 5, 6, 7, 8, 9, 11, 12, 13, 15]
 
 
+def test_near_copies_within_a_group_of_similar_texts(spark):
+    """3,000 texts at 0.75 to each other, of which 400 pairs are at 0.82 or 0.9: no link is lost."""
+    n, template, tail, planted = 3000, 448, 20, 400
+    draw = np.random.default_rng(8)
+    base = " ".join("t%d" % x for x in draw.integers(1 << 40, size=template))
+    tails = [["u%d" % x for x in draw.integers(1 << 40, size=tail)] for _ in range(n)]
+    for pair in range(planted):
+        same = 6 if pair % 2 else 13
+        tails[2 * pair + 1][:same] = tails[2 * pair][:same]
+    common, rare = np.log1p(1 / (1 + neardup.SHARE_FLOOR)), np.log1p(1 / (2 / n + neardup.SHARE_FLOOR))
+    for same, similar in ((0, 0.75), (6, 0.82), (13, 0.9)):
+        shared = (template - 4) * common + same * rare
+        assert shared / (shared + 2 * (tail - same) * rare) == pytest.approx(similar, abs=0.01)
+    texts = [(i, " ".join([base, *t])) for i, t in enumerate(tails)]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(8, "doc_id")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(table).collect()}
+    assert got == {i: i - i % 2 if i < 2 * planted else i for i in range(n)}
+
+
 def test_samples_agree_as_often_as_the_sets_do():
     draw = np.random.default_rng(4)
     a = draw.integers(0, 1 << 63, 300).astype(np.uint64)
