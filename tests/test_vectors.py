@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from opslake import inputs, registry
 from opslake.functions import vector as vec
 from opslake.operators import vectors
 from pyspark.sql import functions as F
@@ -58,6 +59,15 @@ def test_ann_recall(data):
     assert len(exact & near) / len(exact) > 0.7
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_registered_ann_recall(spark, sf):
+    path = f"/root/testdata/{sf}"
+    exact = vectors.nearest(inputs.query_vectors(spark, path), inputs.corpus_vectors(spark, path), 10)
+    near = {(r.query_id, r.id) for r in registry.queries()["ann_candidates"](spark, path).collect()}
+    exact = {(r.query_id, r.id) for r in exact.collect()}
+    assert len(exact & near) >= 0.9 * len(exact)
+
+
 def test_model_and_hash_embedding_agree(spark):
     rows = spark.createDataFrame([("abc",), ("",)], "t string")
     embed = vec.model_embed(vec.hash_encoder)
