@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslake.llm import decontam, fertility, langid, neardup, packing, quality, substrings, suffix, suffix_tree, token_counts
+from opslake.llm import (
+    decontam, fertility, langid, lexical, lines, neardup, packing, periods, quality, substrings, suffix, suffix_tree,
+    token_counts)
 from opslake.session import use_shared_checkpoints
 
 
@@ -69,7 +71,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(periods.with_periods(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periods.strongest(F.col("runs")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda r: F.concat(r, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.remove_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_tree_lm, op2_language_id, op3_token_counts, op4_suffix_dedup, op5_minhash_neardup, op6_best_fit_packing,
-    op7_quality_classifier, op8_tokenizer_fertility, op9_substring_dedup, op10_decontamination)}
-ORACLES: dict[str, str] = {"op10_decontamination": decontam.SQL}
+    op7_quality_classifier, op8_tokenizer_fertility, op9_substring_dedup, op10_decontamination, op11_periodic_runs,
+    op12_line_dedup, op13_lexical_search)}
+ORACLES: dict[str, str] = {
+    "op10_decontamination": decontam.SQL, "op12_line_dedup": lines.SQL, "op13_lexical_search": lexical.SQL}
