@@ -7,6 +7,7 @@ places by their rank among the rows of their length. The plan's size follows the
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -19,10 +20,14 @@ from tokenizers import Tokenizer
 from opslake.llm.blocks import encoded
 from opslake.llm.token_counts import BYTE_CHARS
 
-#: Fixed value: the pattern that splits text before the merges of the vocabulary with word ends.
-PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Outside these, lower case, normal form or classes may differ from the library's; such texts go to it whole.
 UNSURE = regex.compile(r"[^\x00-\u02FF\u2010-\u2027]")
+SURE = sorted({x for c in (*range(0x300), *range(0x2010, 0x2028)) for x in (chr(c), *chr(c).lower())})
+#: Fixed value: the pattern that splits text before the merges of the vocabulary with word ends.
+PRETOKEN_SOURCE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same pattern over the sure characters, with its classes written out: the plainer matcher takes half the time.
+PRETOKEN = re.compile(regex.sub(r"\\p\{.\}|\\s", lambda m: "".join(
+    re.escape(c) for c in SURE if regex.match(m[0], c)), PRETOKEN_SOURCE))
 
 
 class WordIds(dict):
@@ -95,10 +100,13 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
 
 class Plan:
-    """Sequences as (times, lengths), made from counts of lengths."""
+    """Sequences as (times, lengths), made from counts of lengths.
+
+    ``deep`` takes pairs and triples for exact complements besides single lengths.
+    """
 
-    def __init__(self, counts: dict[int, int], capacity: int):
-        self.capacity = capacity
+    def __init__(self, counts: dict[int, int], capacity: int, deep: bool = True):
+        self.capacity, self.deep = capacity, deep
         self.left = np.zeros(capacity + 1, np.int64)
         for length, n in counts.items():
             self.left[length] = n
@@ -130,6 +138,8 @@ class Plan:
         """Lengths that fill the gap exactly: one, a pair or a triple."""
         if gap <= most and self.left[gap] > 0:
             return (gap,)
+        if not self.deep:
+            return None
         if found := self.pair(gap, most):
             return found
         firsts = np.arange(min(most, gap - 2), (gap + 2) // 3 - 1, -1)
@@ -196,6 +206,10 @@ class Plan:
                     n -= used * each
         self.sequences += [x for group in open_.values() for x in group]
 
+    @property
+    def size(self) -> int:
+        return sum(times for times, _ in self.sequences)
+
     def places(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """By length: first rank of each run of places, the sequence of that rank, and the offset in it."""
         taken: dict[int, int] = {}
@@ -212,6 +226,11 @@ class Plan:
         return {k: tuple(np.array(v, np.int64).T) for k, v in out.items()}
 
 
+def best_plan(counts: dict[int, int], capacity: int) -> Plan:
+    """The smaller of two plans: pairs and triples fill more exactly, but may use up short lengths that long ones need."""
+    return min((Plan(counts, capacity, deep) for deep in (True, False)), key=lambda plan: plan.size)
+
+
 def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc_id", "piece"),
          rows_per_share: int = 50_000) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length`` of 1 to ``capacity``; the other columns stay.
@@ -222,7 +241,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
     """
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     shares = max(1, sum(counts.values()) // rows_per_share)
-    places = pieces.sparkSession.sparkContext.broadcast(Plan(counts, capacity).places())
+    places = pieces.sparkSession.sparkContext.broadcast(best_plan(counts, capacity).places())
     dealt = pieces.withColumn("_share", F.pmod(F.xxhash64(*order), F.lit(shares)))
     before = dealt.groupBy("length", "_share").agg(F.count("*").alias("_n"))
     so_far = Window.partitionBy("length").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,6 +1,7 @@
 """Suffix tree language model, packing, decontamination, registry and pipeline."""
 
 import math
+import bisect
 import random
 import zlib
 from collections import Counter
@@ -9,6 +10,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -145,16 +147,39 @@ def test_plan_fills_exactly_where_it_can():
     plan = packing.Plan({60: 10, 40: 4, 25: 6, 15: 6, 20: 2, 10: 6, 100: 3}, 100)
     assert sum(t for t, _ in plan.sequences) == 14
     assert all(sum(x) == 100 for t, x in plan.sequences if t)
-    draw = random.Random(5)
+
+
+def best_fit(counts, capacity):
+    """Number of sequences of plain best fit in decreasing order."""
+    gaps = []
+    for length in sorted(counts.elements(), reverse=True):
+        at = bisect.bisect_left(gaps, length)
+        gap = gaps.pop(at) if at < len(gaps) else capacity
+        bisect.insort(gaps, gap - length)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("seed", [5, 1, 2, 3])
+def test_plan_is_no_worse_than_best_fit(seed):
+    draw = random.Random(seed)
     counts = Counter(draw.randint(1, 512) for _ in range(20_000))
-    plan = packing.Plan(dict(counts), 512)
+    plan = packing.best_plan(dict(counts), 512)
     used = Counter()
     for times, lengths in plan.sequences:
         assert sum(lengths) <= 512
         for x in lengths:
             used[x] += times
     assert used == counts
-    assert sum(t for t, _ in plan.sequences) <= 1.001 * sum(k * v for k, v in counts.items()) / 512 + 1
+    floor = max(sum(k * n for k, n in counts.items()) / 512, sum(n for k, n in counts.items() if k > 256) + counts[256] / 2)
+    assert floor <= plan.size <= best_fit(counts, 512)
+
+
+def test_pretokens_equal_the_pattern_on_every_sure_character():
+    whole = regex.compile(packing.PRETOKEN_SOURCE)
+    for c in packing.SURE:
+        if not packing.UNSURE.search(c):
+            text = f"a{c}1{c}!{c}  x'{c} {c}s'll".lower()
+            assert packing.PRETOKEN.findall(text) == whole.findall(text), hex(ord(c))
 
 
 def verdicts(spark, texts, items, **options):
