@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from opslake import inputs as src
 from opslake.functions import text as tx
-from opslake.operators import chunking, corpus as cp, fuzzy, ordered
+from opslake.operators import chunking, corpus as cp, fuzzy, ordered, similar
 from opslake.plans.catalog import WORDS, oracle, query
 from opslake.sources import files, pages
 
@@ -290,6 +290,25 @@ def _(spark, sf):
     return fuzzy.similar_pairs(product_labels(spark, sf), 90)
 
 
+@query("near_dup_docs", oracle("doc_id representative score:r", f"""
+    WITH RECURSIVE cut AS (SELECT doc_id, {WORDS.replace("(text", "(lower(coalesce(text, ''))")} AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), chr(10)) AS s
+        FROM cut, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i) WHERE len(w) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    alike AS (SELECT l, r, CAST(shared AS DOUBLE) / (a.n + b.n - shared) AS score
+              FROM (SELECT x.doc_id AS l, y.doc_id AS r, count(*) AS shared
+                    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+              JOIN sizes a ON a.doc_id = l JOIN sizes b ON b.doc_id = r),
+    reach AS (SELECT doc_id, doc_id AS other FROM documents
+              UNION SELECT reach.doc_id, r FROM reach JOIN alike ON l = other WHERE score >= 0.8)
+    SELECT doc_id, representative, CASE WHEN doc_id = representative THEN 1.0e0 ELSE coalesce(score, 0.0e0) END AS score
+    FROM (SELECT doc_id, min(other) AS representative FROM reach GROUP BY doc_id)
+    LEFT JOIN alike ON l = doc_id AND r = representative"""))
+def _(spark, sf):
+    return similar.near_duplicates(docs(spark, sf))
+
+
 @query("apply_canonical", oracle("doc_id name", """
     SELECT doc_id, CASE WHEN source IN ('src1', 'src2', 'src3') THEN 'Gazette ' || source ELSE source END AS name
     FROM documents"""))

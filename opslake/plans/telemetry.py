@@ -8,7 +8,7 @@ from opslake import inputs as src
 from opslake.inputs import AS_OF
 from opslake.operators import alerting, features, marts, ordered, quality, scoring, telemetry as tel
 from opslake.plans.catalog import AS_OF as NOW
-from opslake.plans.catalog import oracle, query
+from opslake.plans.catalog import SHOW, VIEWS, oracle, query
 
 READING = ("event_id device_id device_type location {time}:t temperature:r vibration:r pressure:r humidity:r "
            "power_usage:r rpm:r error_code")
@@ -473,6 +473,56 @@ def _(spark, sf):
     return alerting.window_p99(src.requests(spark, sf), ["slot"], "ts", "latency_ms")
 
 
+# Requests of the month brought into three hours, so that steps of 15 seconds and the rules' own limits mean something.
+COMPRESSED = 240
+DENSE = f"""
+    dense AS (SELECT slot, failed, latency_ms / 500.0e0 AS seconds, CAST(floor((epoch_us(TIMESTAMP '2024-01-01')
+                  + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // {COMPRESSED}) / 15e6) AS BIGINT) * 15 AS step FROM requests),
+    reached AS (SELECT slot, failed, seconds, step + ahead AS step FROM dense, range(0, 300, 15) AS g(ahead))"""
+BUCKETS = ", ".join(f"({i}, {high}e0, {low}e0)" for i, (low, high) in enumerate(
+    zip([0.0, *alerting.LATENCY_BOUNDS], alerting.LATENCY_BOUNDS)))
+#: The 99 % quantile from bucket counts: of the first bucket whose cumulative count reaches the rank.
+BUCKET_P99 = f"""
+    counts AS (SELECT slot, step, i, low, high, count(*) FILTER (seconds <= high) AS upto, count(seconds) AS n
+               FROM reached, (VALUES {BUCKETS}) AS v(i, high, low) GROUP BY ALL),
+    ranked AS (SELECT *, coalesce(lag(upto) OVER (PARTITION BY slot, step ORDER BY i), 0) AS before FROM counts),
+    p99s AS (SELECT slot, step, coalesce(min_by(low + (high - low) * (0.99e0 * n - before) / (upto - before), i)
+                 FILTER (upto >= 0.99e0 * n), 10.0e0) AS value FROM ranked GROUP BY ALL HAVING max(n) > 0)"""
+
+
+def dense_requests(spark, sf):
+    start = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    passed = F.floor((F.unix_micros("ts") - start) / COMPRESSED)
+    return src.requests(spark, sf).select("slot", "failed", (F.col("latency_ms") / 500.0).alias("seconds"),
+                                          F.timestamp_micros(start + passed).alias("ts"))
+
+
+@query("bucket_p99", f"WITH requests AS ({VIEWS['requests'][1]}), {DENSE}, {BUCKET_P99} "
+       f"SELECT slot, step, {SHOW['r'].format(c='value')} AS value FROM p99s")
+def _(spark, sf):
+    return alerting.bucket_p99(dense_requests(spark, sf), ["slot"], "ts", F.col("seconds"))
+
+
+@query("alert_rules", f"""WITH requests AS ({VIEWS['requests'][1]}), {DENSE}, {BUCKET_P99},
+    rates AS (SELECT slot, step, count(*) FILTER (failed) / 300.0e0 AS value FROM reached GROUP BY ALL),
+    breached AS (SELECT 'HighErrorRate' AS rule, 120 AS hold, slot, step FROM rates WHERE value > 0.1
+                 UNION ALL SELECT 'HighLatency', 300, slot, step FROM p99s WHERE value > 5),
+    islands AS (SELECT rule, slot, hold, min(step) AS first, max(step) AS last FROM (
+                    SELECT *, step - 15 * row_number() OVER (PARTITION BY rule, slot ORDER BY step) AS island FROM breached)
+                GROUP BY rule, slot, hold, island HAVING max(step) - min(step) >= hold),
+    firings AS (SELECT rule, slot, moment FROM islands, LATERAL (SELECT unnest(range(first + hold, last + 1, 15)) AS moment)),
+    episodes AS (SELECT *, sum(opens) OVER (PARTITION BY rule, slot ORDER BY moment) AS episode FROM (
+                     SELECT *, CASE WHEN moment - lag(moment) OVER (PARTITION BY rule, slot ORDER BY moment) <= 300 THEN 0 ELSE 1 END AS opens
+                     FROM firings)),
+    opened AS (SELECT *, min(moment) OVER (PARTITION BY rule, slot, episode) AS start FROM episodes)
+    SELECT rule, slot, strftime(to_timestamp(start)::TIMESTAMP, '%Y-%m-%d %H:%M:%S.%f') AS episode_start,
+           CAST((moment - start) // 10800 AS BIGINT) AS repeat_no,
+           strftime(to_timestamp(min(moment))::TIMESTAMP, '%Y-%m-%d %H:%M:%S.%f') AS notify_at, count(*) AS firings
+    FROM opened GROUP BY rule, slot, start, (moment - start) // 10800""")
+def _(spark, sf):
+    return alerting.rule_notifications(dense_requests(spark, sf), ["slot"], "ts", F.col("failed"), F.col("seconds"))
+
+
 @query("alert_suppress", oracle("severity episode_start:t repeat_no:i notify_at:t firings:i", """
     SELECT severity, episode_start, CAST(floor(epoch(timestamp - episode_start) / 10800) AS BIGINT) AS repeat_no,
            min(timestamp) AS notify_at, count(*) AS firings

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opslake.plans import catalog, corpus, lake, operations, search, telemetry  # noqa: F401
+from opslake.plans import catalog, corpus, lake, operations, search, streams, telemetry  # noqa: F401
 
 
 def queries():
