@@ -5,10 +5,8 @@ size over the whole corpus. Improved consistent weighted sampling draws, for eac
 with a quantised weight; two documents draw the same with the probability of their weighted Jaccard similarity.
 Documents that share a band are compared with a leader of the band, not with each other: the similarity's distance is a
 metric, so whoever is far from the leader cannot be near its copies, and whoever is in one class need not be compared.
-What these two rules leave open is divided by a second band and compared with leaders of those, so that a large group
-costs a number of comparisons in proportion to its members. What is open even then meets on rare shingles: two texts can
-only reach the threshold if the first shingle they share, rarest first, leaves both of them weight enough behind it. All
-pairs that meet so are verified.
+What these two rules leave open meets on rare shingles: two texts can only reach the threshold if the first shingle they
+share, rarest first, leaves both of them weight enough behind it. All pairs that meet so are verified.
 """
 
 from __future__ import annotations
@@ -281,13 +279,11 @@ def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, t
         F.arrays_overlap("keys", "leader_keys")).select("node", "leader").checkpoint()
 
 
-def links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, threshold: float, bands: int, known,
-          sketch_bits: int) -> DataFrame:
+def links(members: DataFrame, texts: DataFrame, size: int, threshold: float, known, sketch_bits: int) -> DataFrame:
     """Node and label of its class, where verified links join all similar nodes of a band, directly or through others.
 
-    First every node of a band is compared with one leader. Where that leaves nodes of several classes open, those that
-    share a second band as well are compared with a leader of their own, for each second band in turn. All pairs that
-    may be similar among what is then still open are verified.
+    First every node of a band is compared with one leader. Of what that leaves open, in classes of their own, all pairs that
+    may be similar are verified.
     """
     far = 1 - 2 * (1 - threshold)
     asked = led(members, 0).checkpoint()
@@ -301,32 +297,17 @@ def links(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, thr
         F.min("label").alias("low"), F.max("label").alias("high"),
         F.max(~F.col("match") & (F.col("similarity") >= far)).alias("grey"), F.count_if(~F.col("match")).alias("open"))
     live = seen.join(state.where("low < high AND (grey OR open > 1)"), "key").where(
-        ~F.col("match") | F.col("grey")).select("key", "band", "node").checkpoint()
-    for first, last in ((1, bands // 2), (bands // 2, bands)):
-        if live.isEmpty():
-            break
-        others = F.array(*[F.xxhash64("key", F.get("bands", (F.col("band") + step) % bands))
-                           for step in range(first, last)])
-        both = live.join(nodes.select("node", "bands"), "node").select("node", F.explode(others).alias("key"))
-        pairs = led(both, first).select("node", "leader").distinct()
-        for end in ("node", "leader"):
-            mine = label.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
-            pairs = pairs.join(mine, end, "left").withColumn(f"{end}_label", F.coalesce(f"{end}_label", end))
-        pairs = pairs.where("node_label <> leader_label").select("node", "leader")
-        sims = verified(pairs, texts, size, known)
-        new = sims.where(F.col("similarity") >= threshold).select("node", "leader").checkpoint()
-        if not new.isEmpty():
-            found = found.unionByName(new).checkpoint()
-            label = components(found, "node", "leader")
-        classed = live.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        several = classed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        live = live.join(several.select("key"), "key").checkpoint()
-    if not live.isEmpty():
-        pairs = rare_pairs(live, label, texts, size, threshold, known, sketch_bits)
-        new = verified(pairs, texts, size, known).where(F.col("similarity") >= threshold).select("node", "leader").checkpoint()
-        if not new.isEmpty():
-            label = components(found.unionByName(new), "node", "leader")
-    return label
+        ~F.col("match") | F.col("grey")).select("key", "node").checkpoint()
+    pairs = rare_pairs(live, label, texts, size, threshold, known, sketch_bits)
+    new = verified(pairs, texts, size, known).where(F.col("similarity") >= threshold).select("node", "leader")
+    # The classes so far are the nodes of the second graph, which is small.
+    for end in ("node", "leader"):
+        new = new.join(label.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end, "left").withColumn(
+            f"{end}_label", F.coalesce(f"{end}_label", end))
+    joined = components(new.select(F.col("node_label").alias("a"), F.col("leader_label").alias("b")).checkpoint())
+    lone = joined.join(label.select(F.col("node")), "node", "left_anti").select("node", "label")
+    moved = label.join(joined.toDF("label", "root"), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    return moved.unionByName(lone).checkpoint()
 
 
 def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float, bands: int, rows: int,
@@ -345,7 +326,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float
     involved = members.select("node").distinct().join(nodes.select("node", "r.k", "r.h"), "node")
     texts = named.select("k", "h", "text").join(involved, ["k", "h"]).groupBy("node").agg(
         F.first("text").alias("text")).checkpoint()
-    label = links(members, nodes, texts, size, threshold, bands, known, sketch_bits)
+    label = links(members, texts, size, threshold, known, sketch_bits)
     labelled = nodes.drop("bands").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     total = labelled.groupBy("label").agg(
         F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min("r").alias("least"))
