@@ -116,8 +116,11 @@ def risk_level(score: Column) -> Column:
     )
 
 
-def maintenance_tier(devices: DataFrame) -> DataFrame:
-    """Overdue flag, priority and advice for every device."""
+def maintenance_tier(devices: DataFrame, health: DataFrame | None = None) -> DataFrame:
+    """Overdue flag, priority and advice for every device, with its live ``health_score`` where ``health`` is given.
+
+    A device without readings has full health.
+    """
     since, interval = F.col("days_since_maintenance"), F.col("maintenance_interval_days")
     left = (interval - since).cast("string")
     late = since - interval
@@ -125,6 +128,7 @@ def maintenance_tier(devices: DataFrame) -> DataFrame:
         F.when(since > interval, F.when(late > interval * 0.5, "critical").otherwise("high"))
         .when(since > interval * 0.8, "medium").otherwise("low")
     )
+    # The sentences of the advice.
     advice = (
         F.when(since > interval, F.concat(
             F.lit("OVERDUE: Maintenance was due "), late.cast("string"),
@@ -134,9 +138,13 @@ def maintenance_tier(devices: DataFrame) -> DataFrame:
         .otherwise(F.concat(
             F.lit("Device within normal maintenance window. Next maintenance in ~"), left, F.lit(" days.")))
     )
-    return devices.select(
+    tiers = devices.select(
         "device_id", "device_type", "days_since_maintenance", "maintenance_interval_days",
         (since > interval).alias("overdue"), priority.alias("priority"), advice.alias("recommendation"))
+    if health is None:
+        return tiers
+    return tiers.join(health.select("device_id", "health_score"), "device_id", "left").withColumn(
+        "health_score", F.coalesce("health_score", F.lit(100.0)))
 
 
 def maintenance_mart(dim: DataFrame, as_of: str) -> DataFrame:

@@ -14,6 +14,8 @@ from opslake.operators.ordered import latest_by_key, top_per_key
 
 # A query matrix of up to this many rows is sent to every task; more are joined block by block.
 SHARED_QUERIES = 4_096
+#: Bytes such a matrix may have; longer vectors lower the number of rows.
+SHARED_BYTES = 64 << 20
 DIGITS = 6
 
 
@@ -29,8 +31,14 @@ def _scores(queries: np.ndarray, corpus: np.ndarray, metric: str) -> np.ndarray:
     return np.round(products, DIGITS)
 
 
+def _ranks(ids: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the ids; texts are compared by code point."""
+    return ids if ids.dtype.kind in "iu" else np.unique(ids.astype(str), return_inverse=True)[1]
+
+
 def _leaders(scores: np.ndarray, ids: np.ndarray, k: int, threshold: float | None, allowed=None):
     """Per query the positions of its k best rows by (score, id)."""
+    order_of = _ranks(ids)
     for q in range(scores.shape[1]):
         column = scores[:, q]
         rows = np.arange(len(column)) if allowed is None else np.flatnonzero(allowed[:, q])
@@ -40,7 +48,7 @@ def _leaders(scores: np.ndarray, ids: np.ndarray, k: int, threshold: float | Non
             edge = np.partition(column[rows], len(rows) - k)[len(rows) - k]
             rows = rows[column[rows] >= edge]
         if len(rows):
-            order = np.lexsort((ids[rows], -column[rows]))[:k]
+            order = np.lexsort((order_of[rows], -column[rows]))[:k]
             yield q, rows[order]
 
 
@@ -53,30 +61,30 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosine
             shared_queries: int = SHARED_QUERIES) -> DataFrame:
     """(query_id, id, score, rank): the ``k`` nearest corpus rows of every query, ties to the smaller id.
 
-    ``queries`` has query_id and vector, ``corpus`` has id and vector; ids are integers and vectors
+    ``queries`` has query_id and vector, ``corpus`` has id and vector; ids are integers or texts and vectors
     of one length. The metric is ``cosine``, ``dot`` or ``l2`` (score is minus the squared
     distance). Every task keeps its own best ``k``, so the shuffle carries tasks × queries × k rows.
     """
     rows = corpus.select("id", "vector").where(F.col("vector").isNotNull())
-    head = queries.select("query_id", "vector").where(F.col("vector").isNotNull()).limit(shared_queries + 1).collect()
+    asked = queries.select("query_id", "vector").where(F.col("vector").isNotNull())
+    width = asked.select(F.size("vector")).head()
+    shared_queries = max(1, min(shared_queries, SHARED_BYTES // (8 * max(1, width[0])))) if width else shared_queries
+    head = asked.limit(shared_queries + 1).collect()
     if len(head) > shared_queries:
-        local = _nearest_in_blocks(queries, rows, k, metric, threshold, shared_queries)
+        local = _nearest_in_blocks(asked, rows, k, metric, threshold, shared_queries)
     else:
-        local = _nearest_shared(head, rows, k, metric, threshold)
+        local = _nearest_shared(head, rows, k, metric, threshold, asked.schema["query_id"].dataType.simpleString())
     return top_per_key(local, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="rank")
 
 
-OUT = "query_id bigint, id bigint, score double"
-
-
-def _nearest_shared(head: list, rows: DataFrame, k: int, metric: str, threshold: float | None,
+def _nearest_shared(head: list, rows: DataFrame, k: int, metric: str, threshold: float | None, asked: str,
                     probes: np.ndarray | None = None) -> DataFrame:
     spark = rows.sparkSession
     if not head:
         # No query, no hit.
-        return spark.range(0).selectExpr("id AS query_id", "id", "0.0D AS score")
+        return rows.limit(0).select(F.lit(None).cast(asked).alias("query_id"), "id", F.lit(0.0).alias("score"))
     matrix = np.array([r.vector for r in head], dtype=np.float64)
-    numbers = np.array([r.query_id for r in head], dtype=np.int64)
+    numbers = [r.query_id for r in head]
     shared = spark.sparkContext.broadcast((numbers, matrix, probes))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,25 +100,29 @@ def _nearest_shared(head: list, rows: DataFrame, k: int, metric: str, threshold:
                 s, i = scores[rows_, q], ids[rows_]
                 if q in kept:
                     s, i = np.concatenate([kept[q][0], s]), np.concatenate([kept[q][1], i])
-                    order = np.lexsort((i, -s))[:k]
+                    order = np.lexsort((_ranks(i), -s))[:k]
                     s, i = s[order], i[order]
                 kept[q] = (s, i)
         for q, (s, i) in kept.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(i), names[q])), pa.array(i), pa.array(s)], names=["query_id", "id", "score"])
+                [pa.array([names[q]] * len(i)), pa.array(i), pa.array(s)], names=["query_id", "id", "score"])
 
-    return rows.mapInArrow(best, OUT)
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(best, f"query_id {asked}, id {kind}, score double")
 
 
 def _nearest_in_blocks(queries: DataFrame, rows: DataFrame, k: int, metric: str, threshold: float | None,
-                       block: int, spread: int = 64) -> DataFrame:
+                       block: int) -> DataFrame:
     """Both sides in packed blocks that meet on (query block, corpus share).
 
+    There are as many shares as the session has shuffle partitions, 64 at least, so they grow with the cluster.
+
     Nothing is collected: query blocks are repeated per corpus share and corpus packs per query
     block, and one function call scores one pack against one block.
     """
+    spread = max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = max(1, -(-queries.count() // block))
-    packed = queries.where(F.col("vector").isNotNull()).groupBy(
+    packed = queries.groupBy(
         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
         F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(8)).alias("part"),
     ).agg(F.collect_list(F.struct("query_id", "vector")).alias("asked")).withColumn(
@@ -122,14 +134,15 @@ def _nearest_in_blocks(queries: DataFrame, rows: DataFrame, k: int, metric: str,
                 item = pa.StructArray.from_arrays([batch.column("id"), batch.column("vector")], names=["id", "vector"])
                 packs = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), item)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(batch.column("id")[0].as_py())]), packs], names=["pack", "rows"])
+                    [batch.column("id").slice(0, 1), packs], names=["pack", "rows"])
 
     element = rows.schema["vector"].dataType.simpleString()
-    packs = rows.mapInArrow(pack, f"pack bigint, rows array<struct<id:bigint,vector:{element}>>").select(
+    kind, asked = rows.schema["id"].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
+    packs = rows.mapInArrow(pack, f"pack {kind}, rows array<struct<id:{kind},vector:{element}>>").select(
         F.pmod(F.xxhash64("pack"), F.lit(spread)).cast("int").alias("share"), "rows",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
 
-    @F.pandas_udf("array<struct<query_id:bigint,id:bigint,score:double>>")
+    @F.pandas_udf(f"array<struct<query_id:{asked},id:{kind},score:double>>")
     def score(asked: pd.Series, given: pd.Series) -> pd.Series:
         out = []
         for qs, cs in zip(asked, given):
@@ -137,7 +150,7 @@ def _nearest_in_blocks(queries: DataFrame, rows: DataFrame, k: int, metric: str,
             c_ids = np.array([c["id"] for c in cs])
             scores = _scores(np.array([q["vector"] for q in qs], dtype=np.float64),
                              np.array([c["vector"] for c in cs], dtype=np.float64), metric)
-            out.append([{"query_id": int(q_ids[q]), "id": int(c_ids[r]), "score": float(scores[r, q])}
+            out.append([{"query_id": q_ids[q].item(), "id": c_ids[r].item(), "score": float(scores[r, q])}
                         for q, best in _leaders(scores, c_ids, k, threshold) for r in best])
         return pd.Series(out)
 
@@ -185,7 +198,7 @@ def ann_candidates(queries: DataFrame, corpus: DataFrame, k: int, cells: int = 8
     model = KMeans(k=cells, seed=seed, featuresCol="features", predictionCol="cell", maxIter=10).fit(featured)
     centres = np.array(model.clusterCenters())
     rows = model.transform(featured).select("id", "vector", "cell")
-    local = None
+    local, kind = None, asked.schema["query_id"].dataType.simpleString()
     for block in range(blocks):
         head = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).collect()
         if not head and (block or blocks > 1):
@@ -194,6 +207,6 @@ def ann_candidates(queries: DataFrame, corpus: DataFrame, k: int, cells: int = 8
         gaps = ((matrix[:, None, :] - centres[None, :, :]) ** 2).sum(2)
         chosen = np.zeros_like(gaps, dtype=bool)
         np.put_along_axis(chosen, np.argsort(gaps, axis=1)[:, :probe], True, axis=1)
-        part = _nearest_shared(head, rows, k, "cosine", None, probes=chosen)
+        part = _nearest_shared(head, rows, k, "cosine", None, kind, probes=chosen)
         local = part if local is None else local.unionByName(part)
     return top_per_key(local, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="rank")

@@ -351,17 +351,54 @@ def _(spark, sf):
     return chunking.split_sentences(docs(spark, sf)).select("doc_id", "chunk_index", "text")
 
 
-@query("chunk_unique_words")
+@query("chunk_unique_words", f"""
+    WITH RECURSIVE cut AS (SELECT doc_id, w FROM (SELECT doc_id, {WORDS} AS w FROM documents) WHERE len(w) > 0),
+    placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM cut),
+    -- before[i]: the place of the same word before place i, 0 for its first one
+    linked AS (SELECT doc_id, list(p ORDER BY i) AS before FROM (
+                   SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id, word ORDER BY i), 0) AS p FROM placed) GROUP BY doc_id),
+    ended AS (SELECT doc_id, w, before FROM cut JOIN linked USING (doc_id)),
+    -- a chunk from s ends before the 65th place whose word is new since s
+    walk AS (SELECT doc_id, 0 AS chunk_index, CAST(1 AS BIGINT) AS s, coalesce(list_filter(range(1, len(w) + 1),
+                    lambda i: before[i] < 1)[65], len(w) + 1) AS e FROM ended
+             UNION ALL SELECT doc_id, chunk_index + 1, e, coalesce(list_filter(range(e, len(w) + 1),
+                    lambda i: before[i] < e)[65], len(w) + 1) FROM walk JOIN ended USING (doc_id) WHERE e <= len(w))
+    SELECT doc_id, CAST(chunk_index AS BIGINT) AS chunk_index, array_to_string(w[s:e - 1], ' ') AS text
+    FROM walk JOIN ended USING (doc_id)""")
 def _(spark, sf):
     return chunking.chunk_unique_words(docs(spark, sf), 64).select("doc_id", "chunk_index", "text")
 
 
-@query("chunk_sentences")
+def packed_sentences(most: int, overlap: int) -> str:
+    """SQL of sentences packed up to ``most`` words, each chunk from sentence a, new ones from f, up to b."""
+    until = f"greatest({{f}}, len(list_filter(cum, lambda c: c <= coalesce(cum[{{a}} - 1], 0) + {most})))"
+    return f"""
+    WITH RECURSIVE parts AS (
+        SELECT doc_id, list_filter(string_split(regexp_replace(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda t: len({WORDS.replace("(text", "(t")}) > 0) AS s FROM documents),
+    sized AS (SELECT doc_id, s, list_transform(s, lambda t: len({WORDS.replace("(text", "(t")})) AS n FROM parts WHERE len(s) > 0),
+    summed AS (SELECT doc_id, s, n, list_transform(range(1, len(n) + 1), lambda i: CAST(list_sum(n[1:i]) AS BIGINT)) AS cum FROM sized),
+    walk AS (
+        SELECT doc_id, 0 AS chunk_index, CAST(1 AS BIGINT) AS a, {until.format(f="1", a="1")} AS b FROM summed
+        UNION ALL
+        SELECT doc_id, chunk_index, a, {until.format(f="f", a="a")} FROM (
+            SELECT doc_id, chunk_index, f, cum,
+                   CASE WHEN cum[f - 1] - coalesce(cum[k - 1], 0) + n[f] > {most} THEN f ELSE k END AS a
+            FROM (SELECT doc_id, chunk_index + 1 AS chunk_index, b + 1 AS f, cum, n,
+                         -- the kept end of the chunk before: as many whole sentences as the overlap allows
+                         greatest(a, CASE WHEN cum[b] <= {overlap} THEN 1
+                             ELSE len(list_filter(cum, lambda c: c < cum[b] - {overlap})) + 2 END) AS k
+                  FROM walk JOIN summed USING (doc_id) WHERE b < len(n))))
+    SELECT doc_id, CAST(chunk_index AS BIGINT) AS chunk_index, array_to_string(s[a:b], ' ') AS text
+    FROM walk JOIN summed USING (doc_id)"""
+
+
+@query("chunk_sentences", packed_sentences(100, 0))
 def _(spark, sf):
     return chunking.chunk_sentences(docs(spark, sf)).select("doc_id", "chunk_index", "text")
 
 
-@query("chunk_overlap_sentences")
+@query("chunk_overlap_sentences", packed_sentences(512, 64))
 def _(spark, sf):
     return chunking.chunk_sentences(docs(spark, sf), 512, 64).select("doc_id", "chunk_index", "text")
 

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from opslake import inputs as src
 from opslake import schemas
 from opslake.inputs import AS_OF
-from opslake.operators import scoring, sessions
+from opslake.operators import scoring, sessions, sketches
 from opslake.plans.catalog import oracle, query
 from opslake.plans.telemetry import MINUTE, MINUTES, dimension, staged_devices
 from opslake.session import shared_dir
 from opslake.sources import files, tables
+from opslake.sources.ledger import Ledger
 from opslake.streaming import pipeline as st
+from opslake.streaming import watch
 
 BASIC = ["event_id", "device_id", "event_time", "temperature", "error_code"]
 BASIC_SQL = "event_id device_id event_time:t temperature:r error_code"
@@ -208,6 +210,57 @@ def _(spark, sf):
     return spark.read.schema("device_id string, n bigint, dt date").parquet(path)
 
 
+@query("layout_clustered", oracle("day:d device_id n:i", """
+    SELECT CAST(event_time AS DATE) AS day, device_id, count(*) AS n FROM telemetry
+    WHERE device_id < 'DEV-0050' AND hour(event_time) < 6 GROUP BY ALL""", "telemetry"))
+def _(spark, sf):
+    path = shared_dir(spark, "clustered")
+    tables.write_clustered(src.telemetry(spark, sf), path, "event_time", "device_id", rows_per_file=2_000)
+    rows = spark.read.schema(f"{schemas.TELEMETRY}, dt date").parquet(path)
+    found = rows.where("device_id < 'DEV-0050' AND hour(event_time) < 6")
+    return found.groupBy(F.col("dt").alias("day"), "device_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ledger_mart", oracle("device_id dt:d n:i temperature:r", """
+    SELECT device_id, CAST(event_time AS DATE) AS dt, count(*) AS n, sum(temperature) AS temperature FROM telemetry
+    GROUP BY ALL""", "telemetry"))
+def _(spark, sf):
+    """Three appends, each followed by a run that reads the new files only, and a run that finds none."""
+    arrived, mart, rows = shared_dir(spark, "arrived"), shared_dir(spark, "ledger"), src.telemetry(spark, sf)
+    ledger = Ledger(spark, mart)
+
+    def read(paths):
+        return spark.read.schema(schemas.TELEMETRY).parquet(*paths)
+
+    def build(new):
+        return new.groupBy("device_id", F.to_date("event_time").alias("dt")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("temperature").alias("temperature"))
+
+    for part in range(3):
+        tables.append(rows.where(f"event_id % 3 = {part}"), arrived)
+        ledger.take(arrived, read, build)
+    ledger.take(arrived, read, build)
+    return ledger.total("device_id string, dt date, n bigint, temperature double", ["device_id", "dt"],
+                        {"n": F.sum("n"), "temperature": F.sum("temperature")})
+
+
+@query("distinct_sketches", oracle("name distinct_values:i within:b", """
+    SELECT 'device_id' AS name, count(DISTINCT device_id) AS distinct_values, TRUE AS within FROM telemetry
+    UNION ALL SELECT 'event_id', count(DISTINCT event_id), TRUE FROM telemetry
+    UNION ALL SELECT 'temperature', count(DISTINCT temperature), TRUE FROM telemetry""", "telemetry"))
+def _(spark, sf):
+    """Sketches of the days before and after the fifteenth, stored apart; the estimates come from the stored sketches only."""
+    path, rows = shared_dir(spark, "sketches"), src.telemetry(spark, sf).withColumn("dt", F.to_date("event_time"))
+    names = ["device_id", "event_id", "temperature"]
+    for part in ("dt <= DATE '2024-01-15'", "dt > DATE '2024-01-15'"):
+        tables.append(sketches.daily_sketches(rows.where(part), "dt", names), path, partition_by=["dt"])
+    estimates = sketches.distinct_estimates(spark.read.schema("name string, sketch binary, dt date").parquet(path))
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in names]).select(F.inline(F.array(
+        *[F.struct(F.lit(c).alias("name"), F.col(c).alias("distinct_values")) for c in names])))
+    near = F.abs(F.col("estimate") - F.col("distinct_values")) <= F.col("distinct_values") * (3 * sketches.STANDARD_ERROR) + 1
+    return exact.join(estimates, "name").select("name", "distinct_values", near.alias("within"))
+
+
 # Streams
 
 @query("src_stream", oracle(BASIC_SQL, "SELECT * FROM telemetry", "telemetry"))
@@ -272,17 +325,15 @@ def _(spark, sf):
     """
     path, lines = shared_dir(spark, "late"), shared_dir(spark, "late-lines")
     rows = src.telemetry(spark, sf)
-
-    def run():
-        counted = st.with_watermark(st.parsed(st.file_lines(spark, lines))).groupBy(
-            F.window("event_time", "1 minute")).agg(F.count(F.lit(1)).alias("n")).select("window.start", "n")
-        return st.run_available(counted, path, f"{path}-ckpt")
-
-    files.telemetry_json(rows.where("event_id % 10 <> 0")).write.mode("append").text(lines)
-    run()
-    files.telemetry_json(rows.where("event_id % 10 = 0")).write.mode("append").text(lines)
-    query_run = run()
-    return spark.range(1).select(F.lit(st.late_rows(query_run)).cast("bigint").alias("dropped"))
+    with watch.totals(spark) as heard:
+        for part in ("event_id % 10 <> 0", "event_id % 10 = 0"):
+            files.telemetry_json(rows.where(part)).write.mode("append").text(lines)
+            counted = st.with_watermark(st.parsed(st.file_lines(spark, lines))).groupBy(
+                F.window("event_time", "1 minute")).agg(F.count(F.lit(1)).alias("n")).select("window.start", "n")
+            query_run = st.run_available(counted, path, f"{path}-ckpt")
+            heard.wait(query_run)
+        dropped = heard.late[query_run.id]
+    return spark.range(1).select(F.lit(dropped).cast("bigint").alias("dropped"))
 
 
 @query("sink_foreach_batch", oracle("sink n:i", """

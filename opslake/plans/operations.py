@@ -134,24 +134,24 @@ def _(spark, sf):
     return sessions.comparison_summary(sessions.compare_backends(src.requests(spark, sf)))
 
 
-@query("append_new_only", oracle("query_text response", """
-    SELECT DISTINCT source AS query_text, lang AS response FROM documents WHERE NOT EXISTS (
-        SELECT 1 FROM documents d WHERE d.doc_id % 3 = 0 AND d.source = documents.source AND d.lang = documents.lang)
-    UNION ALL SELECT 'new ' || CAST(doc_id AS VARCHAR), lang FROM documents WHERE doc_id % 7 = 0"""))
+@query("append_new_only", oracle("query_hash response", """
+    SELECT DISTINCT md5(text) AS query_hash, lang AS response FROM documents WHERE NOT EXISTS (
+        SELECT 1 FROM documents d WHERE d.doc_id % 3 = 0 AND d.text = documents.text AND d.lang = documents.lang)
+    UNION ALL SELECT md5('new ' || text), lang FROM documents WHERE doc_id % 7 = 0"""))
 def _(spark, sf):
-    pairs = docs(spark, sf).select("doc_id", F.col("source").alias("query_text"), F.col("lang").alias("response"))
+    pairs = docs(spark, sf).select("doc_id", F.col("text").alias("query_text"), F.col("lang").alias("response"))
     fresh = pairs.select("query_text", "response").distinct().unionByName(pairs.where("doc_id % 7 = 0").select(
-        F.concat(F.lit("new "), F.col("doc_id").cast("string")).alias("query_text"), "response"))
-    return sessions.append_new_only(fresh, pairs.where("doc_id % 3 = 0"), ["query_text", "response"])
+        F.concat(F.lit("new "), "query_text").alias("query_text"), "response"))
+    added = sessions.append_new_only(fresh, pairs.where("doc_id % 3 = 0"), ["query_text", "response"])
+    return added.select(F.md5("query_text").alias("query_hash"), "response")
 
 
 @query("cache_lookup", oracle("request_id response:i hit:b", """
     SELECT d.doc_id AS request_id, c.response, c.response IS NOT NULL AS hit FROM documents d LEFT JOIN (
-        SELECT source, lang, min(doc_id) AS response FROM documents WHERE doc_id % 4 = 0 GROUP BY ALL) c
-    ON c.source = d.source AND c.lang = d.lang"""))
+        SELECT text, min(doc_id) AS response FROM documents WHERE doc_id % 4 = 0 GROUP BY ALL) c ON c.text = d.text"""))
 def _(spark, sf):
-    asked = docs(spark, sf).select(F.col("doc_id").alias("request_id"), F.concat_ws("/", "source", "lang").alias("prompt"))
-    cache = asked.where("request_id % 4 = 0").groupBy("prompt").agg(F.min("request_id").alias("response"))
+    asked = docs(spark, sf).select(F.col("doc_id").alias("request_id"), F.col("text").alias("prompt"))
+    cache = asked.where("request_id % 4 = 0").withColumnRenamed("request_id", "response")
     return sessions.cache_lookup(asked, cache).select("request_id", "response", "hit")
 
 
@@ -248,7 +248,7 @@ def side_by_side(spark, sf):
 def pairs_sql(drift: str) -> str:
     """Decision of every model: the gates in order."""
     return f"""
-    SELECT model, ge, CASE WHEN ge > 0.05 OR gq < 0.70 THEN 'rollback_to_blue'
+    SELECT *, CASE WHEN ge > 0.05 OR gq < 0.70 THEN 'rollback_to_blue'
         WHEN gl > 1000 OR drift > 0.25 THEN 'hold_for_review' WHEN gq - bq < 0.02 THEN 'stay_on_blue'
         WHEN ge > be * 1.5 OR gl > bl * 1.3 THEN 'hold_for_review' ELSE 'switch_to_green' END AS decision
     FROM (SELECT model, {drift} AS drift,
@@ -280,9 +280,23 @@ def _(spark, sf):
     return metrics(spark, sf)
 
 
-@query("release_gates", oracle("model decision", pairs_sql("0.0e0"), "metrics"))
+# Drift of a model in steps of a tenth, so that every gate closes for some.
+STEPPED_DRIFT = "CAST(substr(model, 7) AS INTEGER) % 5 * 0.1e0"
+#: The sentence of the first gate that closes, with its figures struck out.
+RATIONALE = f"""
+    SELECT model, decision, CASE WHEN ge > 0.05 THEN 'Green error rate # exceeds max #' WHEN gq < 0.70 THEN 'Green quality # below min #'
+        WHEN gl > 1000 THEN 'Green p# latency #ms exceeds max #ms' WHEN drift > 0.25 THEN 'Drift score # exceeds threshold #'
+        WHEN gq - bq < 0.02 THEN 'Green quality improvement # below min # (blue=#, green=#)' || CASE WHEN ge <= be AND gl <= bl
+            THEN '; Green is not worse on error/latency, but quality gain is marginal' ELSE '' END
+        WHEN ge > be * 1.5 THEN 'Green error rate # is >#x blue (#)' WHEN gl > bl * 1.3 THEN 'Green latency #ms is >#x blue (#ms)'
+        ELSE 'Green passes all gates: quality=# (+#), error_rate=#, p#=#ms, drift=#' END AS rationale
+    FROM ({pairs_sql(STEPPED_DRIFT)})"""
+
+
+@query("release_gates", oracle("model decision rationale", RATIONALE, "metrics"))
 def _(spark, sf):
-    return releases.decide(side_by_side(spark, sf).withColumn("drift_score", F.lit(0.0))).select("model", "decision")
+    decided = releases.decide(side_by_side(spark, sf).withColumn("drift_score", F.expr("CAST(substr(model, 7) AS INT) % 5 * 0.1D")))
+    return decided.select("model", "decision", F.regexp_replace("rationale", r"-?\d[\d.]*", "#").alias("rationale"))
 
 
 @query("release_transition", oracle("release_id status decision", f"""

@@ -327,6 +327,22 @@ def _(spark, sf):
     return rows.select("doc_id", "seed", "chunk_index", F.md5("text").alias("text_hash"))
 
 
+@query("graph_reach", """
+    WITH RECURSIVE one AS (SELECT DISTINCT 'P' || CAST(l_partkey AS VARCHAR) AS src, 'S' || CAST(l_suppkey AS VARCHAR) AS dst,
+                                  l_partkey FROM lineitem),
+    edges AS (SELECT src, dst FROM one UNION SELECT dst, src FROM one),
+    walk AS (SELECT DISTINCT src AS seed, src AS node, 0 AS distance FROM one WHERE l_partkey % 20 = 0
+             UNION SELECT seed, dst, distance + 1 FROM walk JOIN edges ON src = node WHERE distance < 2)
+    SELECT seed, node, CAST(min(distance) AS BIGINT) AS distance FROM walk GROUP BY seed, node HAVING min(distance) > 0""")
+def _(spark, sf):
+    """Parts and suppliers by the order lines that bring them together: a graph of branches and cycles. Every twentieth part asks."""
+    lines = src.table(spark, sf, "lineitem")
+    part = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
+    one = lines.select(part.alias("src"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("dst"))
+    edges = one.unionByName(one.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return graph.reach(lines.where("l_partkey % 20 = 0").select(part.alias("src")), edges, 2)
+
+
 @query("graph_context", oracle("query_id doc_id context:a siblings:i", f"""
     SELECT t.query_id, t.doc_id, list_sort(list(c.chunk_index)) AS context, any_value(n.n) - 1 AS siblings
     FROM (SELECT * FROM (SELECT query_id, doc_id, chunk_index, row_number() OVER (
@@ -339,12 +355,12 @@ def _(spark, sf):
     JOIN (SELECT doc_id, count(*) AS n FROM chunks GROUP BY 1) n ON n.doc_id = t.doc_id
     GROUP BY t.query_id, t.doc_id""", "terms", "chunks"))
 def _(spark, sf):
-    # The id packs (document, chunk) into one number; a document has far fewer than a million chunks.
+    # Ids are texts of fixed width, so their order is that of (document, chunk).
     nodes = chunks(spark, sf)
-    packed = (F.col("doc_id") * 1_000_000 + F.col("chunk_index")).alias("id")
-    corpus = nodes.select(packed, vec.hash_embed(F.col("text")).alias("vector"))
+    key = F.concat(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit(":"), F.lpad(F.col("chunk_index").cast("string"), 10, "0"))
+    corpus = nodes.select(key.alias("id"), vec.hash_embed(F.col("text")).alias("vector"))
     asked = src.search_terms(spark, sf).select("query_id", vec.hash_embed(F.col("query")).alias("vector"))
+    part = F.split("id", ":")
     top = vectors.nearest(asked, corpus, 1).select(
-        "query_id", F.floor(F.col("id") / 1_000_000).alias("doc_id"),
-        (F.col("id") % 1_000_000).cast("int").alias("chunk_index"))
+        "query_id", part[0].cast("bigint").alias("doc_id"), part[1].cast("int").alias("chunk_index"))
     return graph.graph_context(top, nodes)

@@ -209,7 +209,8 @@ def _(spark, sf):
 
 
 @query("maintenance_tier", oracle(
-    "device_id device_type days_since_maintenance:i maintenance_interval_days:i overdue:b priority recommendation", """
+    "device_id device_type days_since_maintenance:i maintenance_interval_days:i overdue:b priority recommendation "
+    "health_score:r", f"""
     SELECT *, s > m AS overdue,
            CASE WHEN s > m THEN CASE WHEN s - m > m * 0.5e0 THEN 'critical' ELSE 'high' END
                 WHEN s > m * 0.8e0 THEN 'medium' ELSE 'low' END AS priority,
@@ -218,10 +219,12 @@ def _(spark, sf):
                      ' days remaining). Schedule within the next week.')
                 ELSE concat('Device within normal maintenance window. Next maintenance in ~', m - s, ' days.')
                 END AS recommendation
-    FROM (SELECT *, days_since_maintenance AS s, maintenance_interval_days AS m FROM device_latest)""",
-    "device_latest"))
+    FROM (SELECT d.*, days_since_maintenance AS s, maintenance_interval_days AS m, coalesce(h.health_score, 100.0e0) AS health_score
+          FROM device_latest d LEFT JOIN ({LIVE}) h ON h.device_id = d.device_id)""",
+    "device_latest", "telemetry", "alerts"))
 def _(spark, sf):
-    return scoring.maintenance_tier(staged_devices(spark, sf))
+    health = tel.live_device_health(src.telemetry(spark, sf), src.alerts(spark, sf), AS_OF)
+    return scoring.maintenance_tier(staged_devices(spark, sf), health)
 
 
 @query("maintenance_mart", oracle(

@@ -10,10 +10,12 @@ BENCHMARK = "item_id bigint, text string"
 LABELS = "doc_id bigint, quality int, toxic int"
 CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
 PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+LINEITEM = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int"
 
 TABLES = {
     "events": EVENTS, "documents": DOCUMENTS, "embeddings": EMBEDDINGS, "pages": PAGES,
     "benchmark": BENCHMARK, "labels": LABELS, "conversations": CONVERSATIONS, "part": PART,
+    "lineitem": LINEITEM,
 }
 
 # One telemetry message as it travels in JSON; the time is an ISO-8601 string.

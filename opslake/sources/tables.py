@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,36 @@ def write_daily(df: DataFrame, path: str, time: str, cluster_by: list[str], file
         "maxRecordsPerFile", max_rows_per_file).partitionBy("dt").parquet(path)
 
 
+def interleaved(keys: list[Column], bits: int = 16) -> Column:
+    """Place on a space-filling curve: the bits of the keys in turn, the first key's bit before the second's.
+
+    Keys are whole numbers from 0 to 2**bits - 1. Rows that are near on the curve are near in every key.
+    """
+    place = F.lit(0).cast("bigint")
+    for bit in range(bits - 1, -1, -1):
+        for key in keys:
+            place = place * 2 + F.shiftright(key, bit).bitwiseAND(F.lit(1))
+    return place
+
+
+def write_clustered(df: DataFrame, path: str, time: str, key: str, rows_per_file: int = 5_000_000, mode: str = "append") -> None:
+    """Partition by day; within a day files follow a curve over ``key`` and the time of day, so that a filter on either
+    skips files by their statistics.
+
+    Ranges of (day, curve) are sampled by Spark, so a day takes files by its rows, and a busy key is cut by time. A key's
+    place is that among up to 127 sampled keys, in the key's own order, as file statistics are minima and maxima.
+    """
+    files = max(1, -(-df.count() // rows_per_file))
+    sample = df.select(F.col(key).alias("k")).where("k IS NOT NULL").distinct().orderBy(F.xxhash64("k")).limit(127)
+    borders = F.array(*[F.lit(r.k) for r in sample.orderBy("k").collect()])
+    rank = F.coalesce(F.size(F.filter(borders, lambda b: b < F.col(key))), F.lit(0))
+    part_of_day = F.floor((F.unix_seconds(time) % 86_400) * 128 / 86_400)
+    curve = interleaved([rank.cast("bigint"), part_of_day.cast("bigint")], 7)
+    laid = df.withColumn("dt", F.to_date(time)).withColumn("_z", curve).repartitionByRange(
+        files, "dt", "_z").sortWithinPartitions("dt", "_z", key, time).drop("_z")
+    laid.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+
+
 def write_json_daily(df: DataFrame, path: str, time: str, mode: str = "append") -> None:
     df.withColumn("dt", F.date_format(time, "yyyy-MM-dd")).write.mode(mode).partitionBy("dt").json(path)
 

@@ -85,7 +85,8 @@ def session_messages(messages: DataFrame, keep: int = 50, idle_seconds: int = 36
     """session_id, messages, first_turn, last_turn, history after every micro-batch that brings messages of the session.
 
     ``messages`` has session_id, turn, role, content and created_at. A message that comes after its session was forgotten
-    opens a new history. State per session is bounded by ``keep``.
+    opens a new history. State per session is bounded by ``keep``. With processing time the engine always plans one more
+    batch to look for expired state: run such a query with a fixed trigger, not until nothing is left.
     """
     rows = messages.select("session_id", "turn", "role", "content", "created_at")
     stream = rows.withWatermark("created_at", delay) if event_time else rows
