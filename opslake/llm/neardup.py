@@ -33,10 +33,10 @@ SHARE_FLOOR = 0.1
 SLICES = 16
 #: Elements of the sampling matrix that are worked on at once.
 CHUNK = 40_000
+#: Bytes of text that are shingled at once, and pairs that are compared at once.
+BLOCK, PAIRS = 1 << 20, 500
 #: Room for rounding in the bounds of candidates; whoever passes is verified.
 SLACK = 1e-6
-#: Ratio of the limits of a class of total weights.
-STEP = 1.02
 #: Nodes of a key that are compared with each other at once.
 KEY_BLOCK = 500
 
@@ -65,7 +65,7 @@ def frequencies(docs: DataFrame, text: str, size: int, bits: int):
     """Broadcast (number of documents, count-min rows of document frequencies); len(ROWS) * 2**bits numbers."""
     def count(batches):
         totals, n = [np.zeros(1 << bits, np.int64) for _ in ROWS], 0
-        for _, block in blocks(batches, text):
+        for _, block in blocks(batches, text, BLOCK):
             n += len(block.texts)
             _, _, shingle, _, _ = shingles(block, size)
             for row, total in enumerate(totals):
@@ -146,7 +146,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 def signed(docs: DataFrame, size: int, bands: int, rows: int, seed: int, known) -> DataFrame:
     """k, h, doc_id, node (hash of the words), bands; node and bands are null for texts without words."""
     def sign(batches):
-        for batch, block in blocks(batches):
+        for batch, block in blocks(batches, most=BLOCK):
             words, prefix, shingle, doc, times = shingles(block, size)
             first, last = words.first, words.first + words.count
             node = np.stack([span_hash(prefix, first, last, salt) for salt in (1, 2)], axis=1).astype(">u8")
@@ -173,24 +173,28 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, known) -> DataFrame:
     """node, leader, similarity of the given pairs."""
     def compare(batches):
         for batch in batches:
-            sets: dict[bytes, tuple] = {}
-            wanted = {}
-            for name, text in (("node", "text"), ("leader", "leader_text")):
-                wanted.update(zip(batch.column(name).to_pylist(), batch.column(text).to_pylist()))
-            names = pa.RecordBatch.from_arrays(
-                [pa.array(wanted.keys(), pa.binary()), pa.array(wanted.values(), pa.string())], ["node", "text"])
-            for part, block in blocks([names]):
-                _, _, shingle, doc, times = shingles(block, size)
-                weight = weights(shingle, times, known.value)
-                cut = np.searchsorted(doc, np.arange(len(block.texts) + 1))
-                for node, a, b in zip(part.column(0).to_pylist(), cut, cut[1:]):
-                    order = np.argsort(shingle[a:b])
-                    sets[node] = shingle[a:b][order], weight[a:b][order]
-            node, leader = batch.column("node").to_pylist(), batch.column("leader").to_pylist()
-            similar = [weighted_jaccard(sets[x], sets[y]) for x, y in zip(node, leader)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("leader"), pa.array(similar, pa.float64())],
-                ["node", "leader", "similarity"])
+            for at in range(0, batch.num_rows, PAIRS):
+                yield compared(batch.slice(at, PAIRS))
+
+    def compared(batch):
+        sets: dict[bytes, tuple] = {}
+        wanted = {}
+        for name, text in (("node", "text"), ("leader", "leader_text")):
+            wanted.update(zip(batch.column(name).to_pylist(), batch.column(text).to_pylist()))
+        names = pa.RecordBatch.from_arrays(
+            [pa.array(wanted.keys(), pa.binary()), pa.array(wanted.values(), pa.string())], ["node", "text"])
+        for part, block in blocks([names], most=BLOCK):
+            _, _, shingle, doc, times = shingles(block, size)
+            weight = weights(shingle, times, known.value)
+            cut = np.searchsorted(doc, np.arange(len(block.texts) + 1))
+            for node, a, b in zip(part.column(0).to_pylist(), cut, cut[1:]):
+                order = np.argsort(shingle[a:b])
+                sets[node] = shingle[a:b][order], weight[a:b][order]
+        node, leader = batch.column("node").to_pylist(), batch.column("leader").to_pylist()
+        similar = [weighted_jaccard(sets[x], sets[y]) for x, y in zip(node, leader)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("node"), batch.column("leader"), pa.array(similar, pa.float64())],
+            ["node", "leader", "similarity"])
 
     led = texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text"))
     return pairs.join(texts, "node").join(led, "leader").select("node", "leader", "text", "leader_text").mapInArrow(
@@ -204,18 +208,17 @@ def led(live: DataFrame, salt: int) -> DataFrame:
 
 
 def prefixes(mine: DataFrame, size: int, threshold: float, known, sketch_bits: int) -> DataFrame:
-    """Where texts (node, label, text) meet: rows of key, the two sides of the key the node is on, total and after.
+    """Where texts (node, label, text) meet: rows of key (a shingle), total and after.
 
     Shingles are in one order for all texts, rarest among them first. ``after`` is the weight of a text from the shingle
     on, ``total`` that of all. Similar texts of totals A and B share a weight of t / (1 + t) * (A + B) at least, so that
-    much is behind the first shingle they share, in both. Totals fall into classes (steps of ``STEP``), and a key is a
-    shingle with the classes of two texts: a text has those keys only that leave weight enough behind the shingle.
+    much is behind the first shingle they share, in both, and at least t of the weight of each.
     """
     rarity = frequencies(mine, "text", size, sketch_bits)
-    need, least, step = threshold / (1 + threshold) * (1 - SLACK), threshold * (1 - SLACK), np.log(STEP)
+    least = threshold * (1 - SLACK)
 
     def meet(batches):
-        for batch, block in blocks(batches):
+        for batch, block in blocks(batches, most=BLOCK):
             _, _, shingle, doc, times = shingles(block, size)
             weight = weights(shingle, times, known.value)
             rows = rarity.value[1]
@@ -227,54 +230,46 @@ def prefixes(mine: DataFrame, size: int, threshold: float, known, sketch_bits: i
             after = np.cumsum(total)[doc] - np.cumsum(weight) + weight
             # The sketch never counts too few: a shingle counted once is in no other text.
             at = np.flatnonzero((df > 1) & (after >= least * total[doc]))
-            shingle, doc, after, total = shingle[at], doc[at], after[at], total[doc[at]]
-            own = np.floor(np.log(total) / step).astype(np.int64)
-            low = np.floor(np.log(total * least) / step).astype(np.int64)
-            high = np.floor(np.log(np.clip(after / need - total, 1e-300, total / least)) / step).astype(np.int64)
-            many = np.maximum(high - low + 1, 0)
-            each = np.repeat(np.arange(len(at)), many)
-            other = low[each] + np.arange(len(each)) - (np.cumsum(many) - many)[each]
-            own = own[each]
-            key = mix(shingle[each] + np.minimum(own, other).astype(np.uint64) * np.uint64(ROWS[0])
-                      + np.maximum(own, other).astype(np.uint64) * np.uint64(ROWS[1])).view(np.int64)
-            place = pa.array(doc[each])
+            place = pa.array(doc[at])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(place), batch.column("label").take(place), pa.array(total[each]),
-                 pa.array(after[each]), pa.array(key), pa.array(own <= other), pa.array(own >= other)],
-                ["node", "label", "total", "after", "key", "lower", "upper"])
+                [batch.column("node").take(place), batch.column("label").take(place), pa.array(total[doc[at]]),
+                 pa.array(after[at]), pa.array(shingle[at].view(np.int64))], ["node", "label", "total", "after", "key"])
 
-    return mine.mapInArrow(meet, "node binary, label binary, total double, after double, key bigint, lower boolean, "
-                                 "upper boolean")
+    return mine.mapInArrow(meet, "node binary, label binary, total double, after double, key bigint")
 
 
 def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, threshold: float, known,
                sketch_bits: int) -> DataFrame:
     """Distinct (node, leader) of live nodes that share a band, have different labels and may be similar.
 
-    A key of many nodes is divided into blocks of ``KEY_BLOCK`` nodes, and each block of one side meets each of the other.
+    Of a key's nodes, those of its most frequent label meet the others, and the others meet each other: the members of one
+    class do not meet. Both sides are divided into blocks of ``KEY_BLOCK`` nodes, and each block of one meets each of the
+    other.
     """
     keys = live.groupBy("node").agg(F.collect_set("key").alias("keys")).checkpoint()
     mine = keys.select("node").join(label, "node", "left").join(texts, "node").select(
         "node", F.coalesce("label", "node").alias("label"), "text").checkpoint()
     rows = prefixes(mine, size, threshold, known, sketch_bits).checkpoint()
-    sides = rows.groupBy("key").agg(
-        F.count_if("lower").alias("lows"), F.count_if("upper").alias("highs"), F.count("*").alias("n"))
-    sides = sides.where("lows > 0 AND highs > 0 AND n > 1").select(
-        "key", F.ceil(F.col("lows") / KEY_BLOCK).alias("cuts"), F.ceil(F.col("highs") / KEY_BLOCK).alias("splits"))
-    met = rows.join(sides, "key").checkpoint()
-    zero = F.lit(0).cast("bigint")
-    one = met.where("lower").select(
-        "key", "node", "label", "total", "after", F.pmod(F.xxhash64("node"), F.col("cuts")).alias("cut"),
-        F.explode(F.sequence(zero, F.col("splits") - 1)).alias("split"), "upper")
-    two = met.where("upper").select(
+    tops = rows.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"), F.sum("n").alias("n")).where("labels > 1").select(
+        "key", F.col("top.label").alias("top"), F.ceil(F.col("top.n") / KEY_BLOCK).alias("cuts"),
+        F.ceil((F.col("n") - F.col("top.n")) / KEY_BLOCK).alias("splits"))
+    met = rows.join(tops, "key").checkpoint()
+    zero, side = F.lit(0).cast("bigint"), F.col("label") == F.col("top")
+    dealt = F.pmod(F.xxhash64("node"), F.when(side, F.col("cuts")).otherwise(F.col("splits")))
+    # Side 0: the key's top label against the others. Side 1: the others among themselves.
+    one = met.select("key", "node", "label", "total", "after", F.when(side, 0).otherwise(1).alias("side"), dealt.alias("cut"),
+                     F.explode(F.sequence(zero, F.col("splits") - 1)).alias("split"))
+    two = met.where(~side).select(
         "key", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("total").alias("leader_total"),
-        F.col("after").alias("leader_after"), F.pmod(F.xxhash64("node"), F.col("splits")).alias("split"),
-        F.explode(F.sequence(zero, F.col("cuts") - 1)).alias("cut"))
+        F.col("after").alias("leader_after"), dealt.alias("split"),
+        F.inline(F.flatten(F.array(*[F.transform(F.sequence(zero, F.col(many) - 1), lambda i, s=s: F.struct(
+            F.lit(s).alias("side"), i.alias("cut"))) for s, many in ((0, "cuts"), (1, "splits"))]))))
     wanted = threshold / (1 + threshold) * (1 - SLACK) * (F.col("total") + F.col("leader_total"))
-    # Nodes of one class are on both sides; each pair of them counts once.
-    pairs = one.join(two, ["key", "cut", "split"]).where(
-        (F.col("label") != F.col("leader_label")) & (~F.col("upper") | (F.col("node") < F.col("leader")))
-        & (F.col("after") >= wanted) & (F.col("leader_after") >= wanted)).select("node", "leader").distinct()
+    pairs = one.join(two, ["key", "side", "cut", "split"]).where(
+        (F.col("label") != F.col("leader_label")) & ((F.col("side") == 0) | (F.col("node") < F.col("leader")))
+        & (F.col("after") >= wanted) & (F.col("leader_after") >= wanted)).select(
+        F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")).distinct()
     return pairs.join(keys, "node").join(keys.toDF("leader", "leader_keys"), "leader").where(
         F.arrays_overlap("keys", "leader_keys")).select("node", "leader").checkpoint()
 
