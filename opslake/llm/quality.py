@@ -90,11 +90,12 @@ class Model:
         return self.vectors @ (self.out[1] - self.out[0]), float(self.bias[1] - self.bias[0])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int, doc_id: str, text: str, label: str):
-    """At most ``rows`` labelled texts (smallest hashes), of each at most ``chars`` characters, and their labels."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, doc_id: str, text: str, label: str):
+    """At most ``rows`` whole texts of ``docs`` that have a label (smallest hashes), and their labels."""
     marked = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("k")).agg(F.max(label).alias("y"))
-    picked = marked.orderBy(F.xxhash64("k", F.lit(7)), "k").limit(rows)
-    keyed = docs.select(F.col(doc_id).alias("k"), F.substring(F.col(text), 1, chars).alias("t"))
+    known = docs.select(F.col(doc_id).alias("k"))
+    picked = marked.join(known, "k", "left_semi").orderBy(F.xxhash64("k", F.lit(7)), "k").limit(rows)
+    keyed = docs.select(F.col(doc_id).alias("k"), F.col(text).alias("t"))
     table = keyed.join(F.broadcast(picked), "k").toArrow()
     order = np.argsort(table["k"].to_numpy(), kind="stable")
     texts = encoded(table["t"].combine_chunks())
@@ -102,15 +103,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int, d
 
 
 def classify(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id",
-             text: str = "text", cut: float = 0.3, sample_rows: int = 4_000, sample_chars: int = 12_000, bits: int = 18,
+             text: str = "text", cut: float = 0.3, sample_rows: int = 4_000, bits: int = 18,
              dims: int = 8, epochs: int = 10, rate: float = 0.7, seed: int = 5) -> DataFrame:
     """doc_id, score of class 1 (0 to 1), predicted (score at least ``cut``) for every whole text of ``docs``.
 
-    Learns from at most ``sample_rows`` labelled rows of ``train_docs``; labels other than 0 and 1 are ignored, a
+    Learns from the whole texts of at most ``sample_rows`` documents of ``train_docs`` that have a label; labels other than 0 and 1 are ignored, a
     document labelled twice has its larger label. A null or empty text has the score of the bias; without any label
     every score is 0.5. Repeated rows and null ids are kept; other columns are not read.
     """
-    texts, y = labelled_sample(train_docs, labels, sample_rows, sample_chars, doc_id, text, label)
+    texts, y = labelled_sample(train_docs, labels, sample_rows, doc_id, text, label)
     model = Model(bits, dims, seed)
     if len(texts):
         model.train(texts, y, epochs, rate, seed)

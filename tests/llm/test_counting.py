@@ -180,3 +180,12 @@ def test_language_of_awkward_rows(spark, docs):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
         str(r.doc_id) for r in rows if r.lang_pred != "und" and r.phrase_rate <= 8)
+
+
+def test_held_out_documents_take_no_place_in_the_sample(spark):
+    texts = [(i, f"text number {i} " + "word " * 4_000) for i in range(60)]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    found, y = quality.labelled_sample(table.where("doc_id >= 40"), labels, 20, "doc_id", "text", "quality")
+    assert len(found) == 20 and sorted(y.tolist()) == [0] * 10 + [1] * 10
+    assert {len(t) for t in found} == {len(texts[50][1])}
