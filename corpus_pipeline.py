@@ -43,7 +43,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", language), ("minhash_neardup", near_duplicates), ("suffix_dedup", repeated_bytes),
           ("decontamination", benchmark), ("best_fit_packing", sequences)]
 
-#: SQL cannot express the stages; tests/llm/test_pipeline.py compares them with a brute-force version.
+#: SQL cannot express the stages; tests/llm/test_models.py and tests/llm/test_pipeline.py hold them against plain versions.
 ORACLE_SQL = None
 
 
