@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.blocks import Block, blocks, mix, prefix_hash, span_hash
+from opslake.llm.blocks import Block, blocks, gather, mix, prefix_hash, span_hash
 from opslake.llm.components import components
 from opslake.llm.marks import keyed, rows_as
 from opslake.llm.sketch import ROWS, cells
@@ -39,6 +39,8 @@ BLOCK, PAIRS = 1 << 20, 500
 SLACK = 1e-6
 #: Nodes of a key that are compared with each other at once.
 KEY_BLOCK = 500
+#: Leading keys of a text that each of its rows carries.
+FIRST_KEYS = 8
 
 
 def shingles(block: Block, size: int):
@@ -208,11 +210,12 @@ def led(live: DataFrame, salt: int) -> DataFrame:
 
 
 def prefixes(mine: DataFrame, size: int, threshold: float, known, sketch_bits: int) -> DataFrame:
-    """Where texts (node, label, text) meet: rows of key (a shingle), total and after.
+    """Where texts (node, label, text) meet: rows of key (a shingle), total, after and before.
 
     Shingles are in one order for all texts, rarest among them first. ``after`` is the weight of a text from the shingle
     on, ``total`` that of all. Similar texts of totals A and B share a weight of t / (1 + t) * (A + B) at least, so that
-    much is behind the first shingle they share, in both, and at least t of the weight of each.
+    much is behind the first shingle they share, in both, and at least t of the weight of each. ``before`` holds the keys of
+    the text that come before this one, among its first FIRST_KEYS.
     """
     rarity = frequencies(mine, "text", size, sketch_bits)
     least = threshold * (1 - SLACK)
@@ -231,11 +234,16 @@ def prefixes(mine: DataFrame, size: int, threshold: float, known, sketch_bits: i
             # The sketch never counts too few: a shingle counted once is in no other text.
             at = np.flatnonzero((df > 1) & (after >= least * total[doc]))
             place = pa.array(doc[at])
+            keys = shingle[at].view(np.int64)
+            head = np.searchsorted(doc[at], doc[at])
+            many = np.minimum(np.arange(len(at)) - head, FIRST_KEYS)
+            ends = pa.array(np.append(0, np.cumsum(many)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").take(place), batch.column("label").take(place), pa.array(total[doc[at]]),
-                 pa.array(after[at]), pa.array(shingle[at].view(np.int64))], ["node", "label", "total", "after", "key"])
+                 pa.array(after[at]), pa.array(keys), pa.ListArray.from_arrays(ends, pa.array(keys[gather(head, many)]))],
+                ["node", "label", "total", "after", "key", "before"])
 
-    return mine.mapInArrow(meet, "node binary, label binary, total double, after double, key bigint")
+    return mine.mapInArrow(meet, "node binary, label binary, total double, after double, key bigint, before array<bigint>")
 
 
 def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, threshold: float, known,
@@ -243,7 +251,7 @@ def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, t
     """Distinct (node, leader) of live nodes that share a band, have different labels and may be similar.
 
     Of a key's nodes, those of its most frequent label meet the others, and the others meet each other: the members of one
-    class do not meet. Both sides are divided into blocks of ``KEY_BLOCK`` nodes, and each block of one meets each of the
+    class do not meet. Two nodes that share an earlier key met there and do not meet again. Both sides are divided into blocks of ``KEY_BLOCK`` nodes, and each block of one meets each of the
     other.
     """
     keys = live.groupBy("node").agg(F.collect_set("key").alias("keys")).checkpoint()
@@ -258,17 +266,18 @@ def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, t
     zero, side = F.lit(0).cast("bigint"), F.col("label") == F.col("top")
     dealt = F.pmod(F.xxhash64("node"), F.when(side, F.col("cuts")).otherwise(F.col("splits")))
     # Side 0: the key's top label against the others. Side 1: the others among themselves.
-    one = met.select("key", "node", "label", "total", "after", F.when(side, 0).otherwise(1).alias("side"), dealt.alias("cut"),
+    one = met.select("key", "node", "label", "total", "after", "before", F.when(side, 0).otherwise(1).alias("side"), dealt.alias("cut"),
                      F.explode(F.sequence(zero, F.col("splits") - 1)).alias("split"))
     two = met.where(~side).select(
         "key", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("total").alias("leader_total"),
-        F.col("after").alias("leader_after"), dealt.alias("split"),
+        F.col("after").alias("leader_after"), F.col("before").alias("leader_before"), dealt.alias("split"),
         F.inline(F.flatten(F.array(*[F.transform(F.sequence(zero, F.col(many) - 1), lambda i, s=s: F.struct(
             F.lit(s).alias("side"), i.alias("cut"))) for s, many in ((0, "cuts"), (1, "splits"))]))))
     wanted = threshold / (1 + threshold) * (1 - SLACK) * (F.col("total") + F.col("leader_total"))
     pairs = one.join(two, ["key", "side", "cut", "split"]).where(
         (F.col("label") != F.col("leader_label")) & ((F.col("side") == 0) | (F.col("node") < F.col("leader")))
-        & (F.col("after") >= wanted) & (F.col("leader_after") >= wanted)).select(
+        & (F.col("after") >= wanted) & (F.col("leader_after") >= wanted)
+        & ~F.arrays_overlap("before", "leader_before")).select(
         F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")).distinct()
     return pairs.join(keys, "node").join(keys.toDF("leader", "leader_keys"), "leader").where(
         F.arrays_overlap("keys", "leader_keys")).select("node", "leader").checkpoint()
