@@ -217,7 +217,7 @@ def test_decontamination_of_awkward_rows(spark, docs):
 
 
 def test_queries_are_registered():
-    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
