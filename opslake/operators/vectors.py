@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from opslake.operators.ordered import latest_by_key, top_per_key
 
-# A query matrix of up to this many rows is sent to every task; more are joined block by block.
+# A query matrix of up to this many rows is sent to every task; more are dealt out with the corpus.
 SHARED_QUERIES = 4_096
 #: Bytes such a matrix may have; longer vectors lower the number of rows.
 SHARED_BYTES = 64 << 20
+#: Query blocks, as a multiple of the shared number of rows, that a task holds when the queries are dealt out.
+HELD = 8
+#: Rows and queries that are scored at once.
+ROWS, QUERIES = 1_024, 512
 DIGITS = 6
 
 
@@ -31,30 +37,85 @@ def _scores(queries: np.ndarray, corpus: np.ndarray, metric: str) -> np.ndarray:
     return np.round(products, DIGITS)
 
 
-def _ranks(ids: np.ndarray) -> np.ndarray:
-    """Numbers in the order of the ids; texts are compared by code point."""
-    return ids if ids.dtype.kind in "iu" else np.unique(ids.astype(str), return_inverse=True)[1]
+def _ranks(ids: pa.Array) -> np.ndarray:
+    """Numbers in the order of the ids, null first; texts are compared by code point."""
+    return pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy(zero_copy_only=False)
 
 
-def _leaders(scores: np.ndarray, ids: np.ndarray, k: int, threshold: float | None, allowed=None):
-    """Per query the positions of its k best rows by (score, id)."""
-    order_of = _ranks(ids)
-    for q in range(scores.shape[1]):
-        column = scores[:, q]
-        rows = np.arange(len(column)) if allowed is None else np.flatnonzero(allowed[:, q])
-        if threshold is not None:
-            rows = rows[column[rows] >= threshold]
-        if len(rows) > k:
-            edge = np.partition(column[rows], len(rows) - k)[len(rows) - k]
-            rows = rows[column[rows] >= edge]
-        if len(rows):
-            order = np.lexsort((order_of[rows], -column[rows]))[:k]
-            yield q, rows[order]
+class _Best:
+    """The k best rows by (score, id) of some queries, over any number of corpus rows.
 
+    Rows and queries are scored in tiles of fixed size, and a tile's rows below the k-th score so far are left out at once,
+    so memory holds one tile and queries × k hits, however many rows come.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int, metric: str, threshold: float | None, probes: np.ndarray | None = None):
+        self.queries, self.k, self.metric, self.threshold, self.probes = queries, k, metric, threshold, probes
+        self.parts = [slice(a, a + QUERIES) for a in range(0, len(queries), QUERIES)]
+        self.kept: list[tuple[np.ndarray, np.ndarray, pa.Array] | None] = [None] * len(self.parts)
+        self.edges: list[np.ndarray | None] = [None] * len(self.parts)
+
+    def add(self, ids: pa.Array, vectors: np.ndarray, cells: np.ndarray | None = None) -> None:
+        for at in range(0, len(ids), ROWS):
+            some = ids.slice(at, ROWS)
+            # Rows in the order of their ids: of equal scores the first ones count.
+            order = np.argsort(_ranks(some), kind="stable")
+            rows = vectors[at:at + ROWS].astype(np.float64)[order]
+            some = some.take(pa.array(order))
+            where = None if cells is None else cells[at:at + ROWS][order]
+            for number in range(len(self.parts)):
+                self._tile(number, some, rows, where)
+
+    def _tile(self, number: int, ids: pa.Array, rows: np.ndarray, cells: np.ndarray | None) -> None:
+        part, k = self.parts[number], self.k
+        scores = np.ascontiguousarray(_scores(self.queries[part], rows, self.metric).T)
+        allowed = np.ones(scores.shape, bool) if cells is None else self.probes[part][:, cells]
+        if self.threshold is not None:
+            allowed &= scores >= self.threshold
+        # NaN is the greatest number, as in a sort of Spark.
+        scores[np.isnan(scores)] = np.inf
+        edge = self.edges[number]
+        if edge is None and scores.shape[1] > k:
+            edge = np.partition(np.where(allowed, scores, -np.inf), -k, axis=1)[:, -k]
+        if edge is not None:
+            allowed &= scores >= edge[:, None]
+        q, r = np.nonzero(allowed)
+        if not len(q):
+            return
+        s = scores[q, r]
+        if edge is not None:
+            # Of the rows that only equal the k-th score, the first k are enough.
+            level = s == edge[q]
+            before = np.cumsum(level) - level
+            first = before[np.searchsorted(q, np.arange(len(scores)))[q].clip(max=len(q) - 1)]
+            use = ~level | (before - first < k)
+            q, r, s = q[use], r[use], s[use]
+        found = ids.take(pa.array(r))
+        if self.kept[number] is not None:
+            q, s, found = (np.concatenate([self.kept[number][0], q]), np.concatenate([self.kept[number][1], s]),
+                           pa.concat_arrays([self.kept[number][2], found]))
+        order = np.lexsort((_ranks(found), -s, q))
+        q = q[order]
+        head = np.searchsorted(q, np.arange(len(scores)))
+        place = np.arange(len(q)) - head[q]
+        use = place < k
+        q, s, found = q[use], s[order[use]], found.take(pa.array(order[use]))
+        self.kept[number] = q, s, found
+        edge = np.full(len(scores), -np.inf)
+        last = place[use] == k - 1
+        edge[q[last]] = s[last]
+        self.edges[number] = edge
+
+    def hits(self, names: pa.Array) -> Iterator[pa.RecordBatch]:
+        for part, kept in zip(self.parts, self.kept):
+            if kept is not None:
+                q, s, found = kept
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(q + part.start)), found, pa.array(np.where(np.isinf(s), np.nan, s))], names=["query_id", "id", "score"])
 
-def _matrix(batch: pa.RecordBatch, name: str, width: int) -> np.ndarray:
-    flat = batch.column(name).flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(batch.num_rows, width)
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosine", threshold: float | None = None,
@@ -69,93 +130,106 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosine
     asked = queries.select("query_id", "vector").where(F.col("vector").isNotNull())
     width = asked.select(F.size("vector")).head()
     shared_queries = max(1, min(shared_queries, SHARED_BYTES // (8 * max(1, width[0])))) if width else shared_queries
-    head = asked.limit(shared_queries + 1).collect()
-    if len(head) > shared_queries:
-        local = _nearest_in_blocks(asked, rows, k, metric, threshold, shared_queries)
+    many = asked.count()
+    if many > shared_queries:
+        held = min(HELD * shared_queries, max(1, SHARED_BYTES // (8 * max(1, width[0]))))
+        local = _nearest_dealt(asked, rows, k, metric, threshold, many, held)
     else:
-        local = _nearest_shared(head, rows, k, metric, threshold, asked.schema["query_id"].dataType.simpleString())
+        local = _nearest_shared(asked, rows, k, metric, threshold)
     return top_per_key(local, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="rank")
 
 
-def _nearest_shared(head: list, rows: DataFrame, k: int, metric: str, threshold: float | None, asked: str,
-                    probes: np.ndarray | None = None) -> DataFrame:
-    spark = rows.sparkSession
+def _nearest_shared(asked: DataFrame, rows: DataFrame, k: int, metric: str, threshold: float | None,
+                    centres: np.ndarray | None = None, probe: int = 0) -> DataFrame:
+    """Best rows of every task; the few queries are sent to all of them."""
+    head, kind = asked.collect(), asked.schema["query_id"].dataType.simpleString()
     if not head:
         # No query, no hit.
-        return rows.limit(0).select(F.lit(None).cast(asked).alias("query_id"), "id", F.lit(0.0).alias("score"))
+        return rows.limit(0).select(F.lit(None).cast(kind).alias("query_id"), "id", F.lit(0.0).alias("score"))
     matrix = np.array([r.vector for r in head], dtype=np.float64)
-    numbers = [r.query_id for r in head]
-    shared = spark.sparkContext.broadcast((numbers, matrix, probes))
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (pa.array([r.query_id for r in head], to_arrow_type(asked.schema["query_id"].dataType)), matrix))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, vectors, cells = shared.value
-        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        names, vectors = shared.value
+        kept = _Best(vectors, k, metric, threshold, None if centres is None else _probes(vectors, centres, probe))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            scores = _scores(vectors, _matrix(batch, "vector", vectors.shape[1]), metric)
-            allowed = None if cells is None else cells.T[batch.column("cell").to_numpy(zero_copy_only=False)]
-            for q, rows_ in _leaders(scores, ids, k, threshold, allowed):
-                s, i = scores[rows_, q], ids[rows_]
-                if q in kept:
-                    s, i = np.concatenate([kept[q][0], s]), np.concatenate([kept[q][1], i])
-                    order = np.lexsort((_ranks(i), -s))[:k]
-                    s, i = s[order], i[order]
-                kept[q] = (s, i)
-        for q, (s, i) in kept.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([names[q]] * len(i)), pa.array(i), pa.array(s)], names=["query_id", "id", "score"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(best, f"query_id {asked}, id {kind}, score double")
-
-
-def _nearest_in_blocks(queries: DataFrame, rows: DataFrame, k: int, metric: str, threshold: float | None,
-                       block: int) -> DataFrame:
-    """Both sides in packed blocks that meet on (query block, corpus share).
-
-    There are as many shares as the session has shuffle partitions, 64 at least, so they grow with the cluster.
-
-    Nothing is collected: query blocks are repeated per corpus share and corpus packs per query
-    block, and one function call scores one pack against one block.
+            kept.add(batch.column("id"), _matrix(batch.column("vector"), vectors.shape[1]),
+                     None if centres is None else batch.column("cell").to_numpy(zero_copy_only=False))
+        yield from kept.hits(names)
+
+    return rows.mapInArrow(best, f"query_id {kind}, id {rows.schema['id'].dataType.simpleString()}, score double")
+
+
+def _nearest_dealt(asked: DataFrame, rows: DataFrame, k: int, metric: str, threshold: float | None, many: int, held: int,
+                   centres: np.ndarray | None = None, probe: int = 0) -> DataFrame:
+    """Queries in blocks of about ``held`` and corpus rows in shares, so that each block meets each share in one stream.
+
+    A row goes to every block and a query to every share. Within a stream the queries come first; the rows that follow are
+    scored as they pass, so a task holds one block and its hits. There are about as many streams as the session has shuffle
+    partitions, 64 at least, so they grow with the cluster, and no fewer blocks than half the root of that: with few blocks a
+    query and its hits would go to many shares.
     """
     spread = max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    blocks = max(1, -(-queries.count() // block))
-    packed = queries.groupBy(
-        F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
-        F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(8)).alias("part"),
-    ).agg(F.collect_list(F.struct("query_id", "vector")).alias("asked")).withColumn(
-        "share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    blocks = max(-(-many // held), math.isqrt(spread) // 2)
+    shares = max(1, -(-spread // blocks))
+    name, id_kind = (t.schema[c].dataType.simpleString() for t, c in ((asked, "query_id"), (rows, "id")))
+    vector = asked.schema["vector"].dataType
+
+    def number(key: str, parts: int) -> Column:
+        return F.pmod(F.xxhash64(key, "vector", F.lit(1)), F.lit(parts))
+
+    def sequence(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
+
+    cell = F.col("cell") if centres is not None else F.lit(0)
+    given = asked.select("query_id", F.lit(None).cast(id_kind).alias("id"), "vector", F.lit(0).alias("cell"), F.lit(0).alias("side"),
+                         number("query_id", blocks).alias("block"), sequence(shares).alias("share"))
+    met = rows.select(F.lit(None).cast(name).alias("query_id"), "id", F.col("vector").cast(vector).alias("vector"),
+                      cell.cast("int").alias("cell"), F.lit(1).alias("side"), sequence(blocks).alias("block"),
+                      number("id", shares).alias("share"))
+    stream = given.unionByName(met).withColumn("stream", F.col("block") * shares + F.col("share")).drop("block", "share")
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, names, parts, kept = None, [], [], None
         for batch in batches:
-            if batch.num_rows:
-                item = pa.StructArray.from_arrays([batch.column("id"), batch.column("vector")], names=["id", "vector"])
-                packs = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), item)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(0, 1), packs], names=["pack", "rows"])
-
-    element = rows.schema["vector"].dataType.simpleString()
-    kind, asked = rows.schema["id"].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
-    packs = rows.mapInArrow(pack, f"pack {kind}, rows array<struct<id:{kind},vector:{element}>>").select(
-        F.pmod(F.xxhash64("pack"), F.lit(spread)).cast("int").alias("share"), "rows",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
-
-    @F.pandas_udf(f"array<struct<query_id:{asked},id:{kind},score:double>>")
-    def score(asked: pd.Series, given: pd.Series) -> pd.Series:
-        out = []
-        for qs, cs in zip(asked, given):
-            q_ids = np.array([q["query_id"] for q in qs])
-            c_ids = np.array([c["id"] for c in cs])
-            scores = _scores(np.array([q["vector"] for q in qs], dtype=np.float64),
-                             np.array([c["vector"] for c in cs], dtype=np.float64), metric)
-            out.append([{"query_id": q_ids[q].item(), "id": c_ids[r].item(), "score": float(scores[r, q])}
-                        for q, best in _leaders(scores, c_ids, k, threshold) for r in best])
-        return pd.Series(out)
-
-    met = packs.join(packed, ["block", "share"])
-    return met.select(F.explode(score("asked", "rows")).alias("hit")).select("hit.*")
+            if not batch.num_rows:
+                continue
+            # One number for the stream and the side, to find where either changes.
+            at = batch.column("stream").to_numpy() * 2 + batch.column("side").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
+            for a, b in zip(cuts, cuts[1:]):
+                some = batch.slice(a, b - a)
+                here, side = divmod(int(at[a]), 2)
+                if here != now:
+                    if kept is not None:
+                        yield from kept.hits(pa.concat_arrays(names))
+                    now, names, parts, kept = here, [], [], None
+                width = len(some.column("vector")[0])
+                if not side:
+                    names.append(some.column("query_id"))
+                    parts.append(_matrix(some.column("vector"), width).astype(np.float64))
+                elif names:
+                    if kept is None:
+                        held_here, parts = np.concatenate(parts), []
+                        kept = _Best(held_here, k, metric, threshold,
+                                     None if centres is None else _probes(held_here, centres, probe))
+                    kept.add(some.column("id"), _matrix(some.column("vector"), kept.queries.shape[1]),
+                             None if centres is None else some.column("cell").to_numpy())
+        if kept is not None:
+            yield from kept.hits(pa.concat_arrays(names))
+
+    return stream.repartition(blocks * shares, "stream").sortWithinPartitions("stream", "side").mapInArrow(
+        best, f"query_id {name}, id {id_kind}, score double")
+
+
+def _probes(queries: np.ndarray, centres: np.ndarray, probe: int) -> np.ndarray:
+    """Queries × cells: true for the ``probe`` cells with the nearest centres."""
+    chosen = np.zeros((len(queries), len(centres)), dtype=bool)
+    for at in range(0, len(queries), QUERIES):
+        gaps = ((queries[at:at + QUERIES, None, :] - centres[None, :, :]) ** 2).sum(2)
+        np.put_along_axis(chosen[at:at + QUERIES], np.argsort(gaps, axis=1)[:, :probe], True, axis=1)
+    return chosen
 
 
 def nearest_sources(hits: DataFrame, corpus: DataFrame, source: str) -> DataFrame:
@@ -186,27 +260,22 @@ def ann_candidates(queries: DataFrame, corpus: DataFrame, k: int, cells: int = 8
 
     Cells are k-means centroids. Rows are not moved to their cell: each task scores its own rows
     for the queries that probe their cell, so a cell holding a third of the rows stays spread out.
-    Queries are taken in blocks of about ``shared_queries`` by a hash of their id, each a pass over the rows.
+    More than ``shared_queries`` queries are dealt out in blocks, as :func:`nearest` does.
     On the given vectors 6 of 8 cells find 0.90 to 0.95 of the ten true neighbours, 3 cells 0.67 to 0.70.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     asked = queries.select("query_id", "vector").where(F.col("vector").isNotNull())
-    blocks = max(1, -(-asked.count() // shared_queries))
     featured = corpus.select("id", "vector", array_to_vector("vector").alias("features"))
     model = KMeans(k=cells, seed=seed, featuresCol="features", predictionCol="cell", maxIter=10).fit(featured)
     centres = np.array(model.clusterCenters())
     rows = model.transform(featured).select("id", "vector", "cell")
-    local, kind = None, asked.schema["query_id"].dataType.simpleString()
-    for block in range(blocks):
-        head = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).collect()
-        if not head and (block or blocks > 1):
-            continue
-        matrix = np.array([r.vector for r in head], dtype=np.float64).reshape(len(head), centres.shape[1])
-        gaps = ((matrix[:, None, :] - centres[None, :, :]) ** 2).sum(2)
-        chosen = np.zeros_like(gaps, dtype=bool)
-        np.put_along_axis(chosen, np.argsort(gaps, axis=1)[:, :probe], True, axis=1)
-        part = _nearest_shared(head, rows, k, "cosine", None, kind, probes=chosen)
-        local = part if local is None else local.unionByName(part)
+    shared_queries = max(1, min(shared_queries, SHARED_BYTES // (8 * centres.shape[1])))
+    many = asked.count()
+    if many > shared_queries:
+        held = min(HELD * shared_queries, max(1, SHARED_BYTES // (8 * centres.shape[1])))
+        local = _nearest_dealt(asked, rows, k, "cosine", None, many, held, centres, probe)
+    else:
+        local = _nearest_shared(asked, rows, k, "cosine", None, centres, probe)
     return top_per_key(local, ["query_id"], [F.col("score").desc(), F.col("id")], k, rank="rank")

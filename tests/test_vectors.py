@@ -1,6 +1,9 @@
 """Nearest vectors: all paths against brute force."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from opslake import inputs, registry
@@ -41,6 +44,40 @@ def test_nearest(data, metric, threshold, shared):
     assert {(r.query_id, r.id, r.rank) for r in rows} == brute(queries, corpus, 5, metric, threshold)
 
 
+def test_many_queries_are_dealt_without_a_join(data):
+    q, c, _, _ = data
+    plan = vectors.nearest(q, c, 5, shared_queries=7)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+    few, many = ({tuple(r) for r in vectors.ann_candidates(q, c, 10, cells=6, probe=4, shared_queries=n).collect()} for n in (1000, 7))
+    assert few == many
+
+
+def test_ids_may_be_texts_repeat_or_be_missing(spark):
+    one, other = [1.0, 0.0], [0.0, 1.0]
+    q = spark.createDataFrame([(i, one) for i in range(40)], "query_id int, vector array<float>")
+    rows = [("b", one), (None, one), ("a", one), ("a", one), ("c", other)] + [(f"x{i}", [-1.0, 0.0]) for i in range(30)]
+    c = spark.createDataFrame(rows, "id string, vector array<float>").repartition(3)
+    for shared in (1000, 7):
+        found = {i: [] for i in range(40)}
+        for r in vectors.nearest(q, c, 5, shared_queries=shared).orderBy("query_id", "rank").collect():
+            found[r.query_id].append((r.id, r.score))
+        assert set(map(tuple, found.values())) == {((None, 1.0), ("a", 1.0), ("a", 1.0), ("b", 1.0), ("c", 0.0))}
+
+
+def test_scoring_holds_a_tile_at_a_time():
+    rng = np.random.default_rng(1)
+    queries, rows = rng.normal(size=(2_000, 8)), rng.normal(size=(10_000, 8)).astype(np.float32)
+    rows[100:] = rows[100]  # ties with all that follow
+    tracemalloc.start()
+    best = vectors._Best(queries, 5, "cosine", None)
+    best.add(pa.array(np.arange(10_000)), rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # rows × queries alone are 160 MB
+    found = pa.Table.from_batches(best.hits(pa.array(np.arange(2_000)))).to_pydict()
+    assert {(q, i) for q, i in zip(found["query_id"], found["id"])} == {(q, i) for q, i, _ in brute(queries, rows[:110].astype(float), 5, "cosine")}
+
+
 def test_empty_sides(data):
     q, c, _, _ = data
     assert vectors.nearest(q.limit(0), c, 5).isEmpty()
