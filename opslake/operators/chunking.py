@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from opslake.functions import text as tx
+from opslake.functions.batches import parts
 
 
 def _unfold(documents: DataFrame, chunks: Column) -> DataFrame:
@@ -102,14 +105,15 @@ def pack_sentences(text: str, most: int, overlap: int) -> list[str]:
     return chunks + [" ".join(s for s, _ in current)] if fresh else chunks
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _sentence_chunks(texts: pd.Series, most: pd.Series, overlap: pd.Series) -> pd.Series:
-    return pd.Series([pack_sentences(t, int(m), int(o)) for t, m, o in zip(texts, most, overlap)])
-
-
 def chunk_sentences(documents: DataFrame, most: int = 100, overlap: int = 0) -> DataFrame:
     """Whole sentences up to ``most`` words; a longer sentence stands alone."""
-    return _unfold(documents, _sentence_chunks("text", F.lit(most), F.lit(overlap)))
+    @F.arrow_udf(ArrayType(StringType()))
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for texts in parts(batch):
+                yield pa.array([pack_sentences(t, most, overlap) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return _unfold(documents, cut("text"))
 
 
 def chunk_ids(chunks: DataFrame, source: str) -> DataFrame:

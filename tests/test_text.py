@@ -3,8 +3,10 @@
 import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from opslake.functions import batches
 from opslake.functions import text as tx
 from opslake.operators import chunking, corpus, fuzzy, search
 from opslake.sources import pages
@@ -189,3 +191,19 @@ def test_many_labels_in_a_chain_settle(spark):
     labels = spark.createDataFrame([(f"{i:03}",) for i in range(70)], "label string")
     pairs = spark.createDataFrame([(f"{i:03}", f"{i + 1:03}") for i in range(69)], "a string, b string")
     assert {r.representative for r in fuzzy.connected(labels, pairs).collect()} == {"000"}
+
+
+def test_a_batch_is_worked_on_in_parts(spark, monkeypatch):
+    texts = ["a" * 300_000, None, "", "b" * 3_000_000, "c"] + ["d" * 400_000] * 9
+    got = list(batches.parts(pa.array(texts)))
+    assert [t for p in got for t in p.to_pylist()] == texts
+    assert max(sum(len(t or "") for t in p.to_pylist()) for p in got) <= 3_000_000 + (1 << 20) and len(got) >= 5
+    assert [p.to_pylist() for p in batches.parts(pa.array([], pa.string()))] == [[]]
+    for used in (chunking, pages):
+        monkeypatch.setattr(used, "parts", lambda column: batches.parts(column, 1_000))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.text for r in chunking.chunk_sentences(docs).collect()} == {i: t for i, t in enumerate(texts) if t}
+    html = [None if t is None else f"<title>{len(t)}</title><article><p>{t}</article>" for t in texts]
+    rows = spark.createDataFrame([(i, "u", h) for i, h in enumerate(html)], "page_id long, url string, html string").coalesce(1)
+    for found in (pages.extract_paragraphs(rows, min_chars=1), pages.first_section(rows, [pages.ARTICLE])):
+        assert {r.page_id: r.text for r in found.collect()} == {i: t for i, t in enumerate(texts) if t}
