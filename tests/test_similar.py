@@ -119,3 +119,13 @@ def test_reach_with_cycles_and_branches(spark, hops):
             want |= {(seed, node, distance) for node in newest}
     got = graph.reach(seeds, frame, hops).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_reach_does_not_store_its_last_round(spark, monkeypatch):
+    stored = []
+    frame = spark.createDataFrame([("a", "b"), ("b", "c"), ("b", "a"), ("c", "d")], "src string, dst string")
+    kind = type(frame)
+    checkpoint = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda self, *args, **given: stored.append(1) or checkpoint(self, *args, **given))
+    got = graph.reach(frame.where("src = 'a'"), frame, 2).collect()
+    assert {(r.node, r.distance) for r in got} == {("b", 1), ("c", 2)} and len(stored) == 2
