@@ -1,5 +1,6 @@
 """State over several micro-batches: sessions with timers, and figures that outlive the kept progress."""
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from opslake.streaming import pipeline as st
@@ -62,6 +63,43 @@ def test_timers_drop_what_is_idle_and_a_time_to_live_needs_no_watermark(spark, t
     assert newest(spark, other) == {"a": (1, 0, 0), "b": (2, 0, 1)}
 
 
+def test_a_session_is_read_row_by_row_and_a_new_one_has_no_timers_to_look_for():
+    class Handle:
+        """A stand-in for the engine: one list and the timers."""
+        def __init__(self):
+            self.list, self.timers, self.looked = [], [], 0
+            self.get, self.put = lambda: iter(self.list), lambda rows: setattr(self, "list", rows)
+            self.clear = lambda: self.put([])
+
+        def getListState(self, *_):
+            return self
+
+        def listTimers(self):
+            self.looked += 1
+            return iter(self.timers)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    def sent(turns):
+        return (Row(at=t * 1000, turn=t, role="user", content=None) for t in turns)
+
+    handle, session = Handle(), ss.SessionHistory(3, 3600, True)
+    session.init(handle)
+    first, = session.handleInputRows(("a",), sent(reversed(range(2 * ss.PART + 7))), handle)
+    assert (first.messages, first.first_turn, first.last_turn) == (3, 2 * ss.PART + 4, 2 * ss.PART + 6) and not handle.looked
+    second, = session.handleInputRows(("a",), sent([90_000]), handle)
+    assert (second.messages, second.first_turn) == (1, 90_000)
+    assert handle.timers == [90_000_000 + 3_600_000] and handle.looked == 1
+    assert not list(session.handleExpiredTimer(("a",), handle, None)) and not handle.list
+
+
 def test_latest_stretch():
     rows = [(t, i, "r", "c") for i, t in enumerate([0, 10, 20, 500, 510, 520])]
     assert [r[1] for r in ss.latest_stretch(rows[::-1], 50, 100)] == [3, 4, 5]
