@@ -6,7 +6,8 @@ with a quantised weight; two documents draw the same with the probability of the
 Documents that share a band are compared with a leader of the band, not with each other: the similarity's distance is a
 metric, so whoever is far from the leader cannot be near its copies, and whoever is in one class need not be compared.
 What these two rules leave open meets on rare shingles: two texts can only reach the threshold if the first shingle they
-share, rarest first, leaves both of them weight enough behind it. All pairs that meet so are verified.
+share, rarest first, leaves both of them weight enough behind it. Each shingle's texts meet first one or two of them that
+have most of their weight behind it, which brings the copies of one text into a class; all pairs that still meet are verified.
 """
 
 from __future__ import annotations
@@ -16,14 +17,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opslake.llm.blocks import Block, blocks, gather, mix, prefix_hash, span_hash
+from opslake.llm.blocks import Block, blocks, mix, prefix_hash, span_hash
 from opslake.llm.components import components
 from opslake.llm.marks import keyed, rows_as
 from opslake.llm.sketch import ROWS, cells
-from opslake.session import use_shared_checkpoints
+from opslake.session import use_shared_checkpoints, use_text_batches
 
 POOL_BITS = 14
 #: Added to the share of documents that hold a shingle before its inverse is taken. Rare shingles then weigh alike, so
@@ -39,8 +40,10 @@ BLOCK, PAIRS = 1 << 20, 500
 SLACK = 1e-6
 #: Nodes of a key that are compared with each other at once.
 KEY_BLOCK = 500
-#: Leading keys of a text that each of its rows carries.
-FIRST_KEYS = 8
+#: Texts of a key that have a lead of their own.
+LED = 8
+#: Keys that come before a row's own and that it carries.
+EARLIER_KEYS = 32
 
 
 def shingles(block: Block, size: int):
@@ -210,12 +213,11 @@ def led(live: DataFrame, salt: int) -> DataFrame:
 
 
 def prefixes(mine: DataFrame, size: int, threshold: float, known, sketch_bits: int) -> DataFrame:
-    """Where texts (node, label, text) meet: rows of key (a shingle), total, after and before.
+    """Where texts (node, label, text) meet: rows of key (a shingle), total and after.
 
     Shingles are in one order for all texts, rarest among them first. ``after`` is the weight of a text from the shingle
     on, ``total`` that of all. Similar texts of totals A and B share a weight of t / (1 + t) * (A + B) at least, so that
-    much is behind the first shingle they share, in both, and at least t of the weight of each. ``before`` holds the keys of
-    the text that come before this one, among its first FIRST_KEYS.
+    much is behind the first shingle they share, in both, and at least t of the weight of each.
     """
     rarity = frequencies(mine, "text", size, sketch_bits)
     least = threshold * (1 - SLACK)
@@ -234,35 +236,64 @@ def prefixes(mine: DataFrame, size: int, threshold: float, known, sketch_bits: i
             # The sketch never counts too few: a shingle counted once is in no other text.
             at = np.flatnonzero((df > 1) & (after >= least * total[doc]))
             place = pa.array(doc[at])
-            keys = shingle[at].view(np.int64)
-            head = np.searchsorted(doc[at], doc[at])
-            many = np.minimum(np.arange(len(at)) - head, FIRST_KEYS)
-            ends = pa.array(np.append(0, np.cumsum(many)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node").take(place), batch.column("label").take(place), pa.array(total[doc[at]]),
-                 pa.array(after[at]), pa.array(keys), pa.ListArray.from_arrays(ends, pa.array(keys[gather(head, many)]))],
-                ["node", "label", "total", "after", "key", "before"])
+                 pa.array(after[at]), pa.array(shingle[at].view(np.int64))], ["node", "label", "total", "after", "key"])
 
-    return mine.mapInArrow(meet, "node binary, label binary, total double, after double, key bigint, before array<bigint>")
+    return mine.mapInArrow(meet, "node binary, label binary, total double, after double, key bigint")
 
 
-def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, threshold: float, known,
-               sketch_bits: int) -> DataFrame:
-    """Distinct (node, leader) of live nodes that share a band, have different labels and may be similar.
+def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows of nodes with the label of their class; a node that has none is its own."""
+    return rows.join(label.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def enough(threshold: float, total: str, other: str):
+    """The weight that two similar texts share at least."""
+    return threshold / (1 + threshold) * (1 - SLACK) * (F.col(total) + F.col(other))
+
+
+def banded(pairs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The distinct pairs (node, leader) whose nodes share a band; ``keys`` are the bands of every node."""
+    pairs = pairs.select(F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")).distinct()
+    return pairs.join(keys, "node").join(keys.toDF("leader", "leader_keys"), "leader").where(
+        F.arrays_overlap("keys", "leader_keys")).select("node", "leader").checkpoint()
+
+
+def met_rows(rows: DataFrame) -> DataFrame:
+    """The rows whose key has several labels, with two leads: of the key, and of a part of about ``LED`` of its texts.
+
+    A lead is the text with the largest share of its weight behind the key.
+    """
+    lead = F.max(F.struct((F.col("after") / F.col("total")).alias("share"), "node", "label", "total", "after"))
+    several = rows.groupBy("key").agg(
+        lead.alias("lead"), F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / LED).alias("parts")).where("low < high")
+    met = rows.join(several.drop("low", "high"), "key").withColumn("part", F.pmod(F.xxhash64("key", "node"), "parts")).drop("parts").checkpoint()
+    return met.join(met.groupBy("key", "part").agg(lead.alias("second")), ["key", "part"])
+
+
+def lead_pairs(met: DataFrame, threshold: float) -> DataFrame:
+    """(node, leader) of met rows that may be similar to one of their leads: two for each row at most."""
+    met = met.select("node", "label", "total", "after", F.explode(F.array("lead", "second")).alias("lead"))
+    least = enough(threshold, "total", "lead.total")
+    return met.where((F.col("label") != F.col("lead.label")) & (F.col("after") >= least) & (F.col("lead.after") >= least)).select(
+        "node", F.col("lead.node").alias("leader"))
+
+
+def rare_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """(node, leader) of nodes that share a key, have different labels and may be similar.
 
     Of a key's nodes, those of its most frequent label meet the others, and the others meet each other: the members of one
-    class do not meet. Two nodes that share an earlier key met there and do not meet again. Both sides are divided into blocks of ``KEY_BLOCK`` nodes, and each block of one meets each of the
-    other.
+    class do not meet. Two nodes that share an earlier key met there and do not meet again; a row carries the last
+    EARLIER_KEYS of those on which its text can meet. Both sides are divided into blocks of ``KEY_BLOCK`` nodes, and each
+    block of one meets each of the other.
     """
-    keys = live.groupBy("node").agg(F.collect_set("key").alias("keys")).checkpoint()
-    mine = keys.select("node").join(label, "node", "left").join(texts, "node").select(
-        "node", F.coalesce("label", "node").alias("label"), "text").checkpoint()
-    rows = prefixes(mine, size, threshold, known, sketch_bits).checkpoint()
     tops = rows.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"), F.sum("n").alias("n")).where("labels > 1").select(
         "key", F.col("top.label").alias("top"), F.ceil(F.col("top.n") / KEY_BLOCK).alias("cuts"),
         F.ceil((F.col("n") - F.col("top.n")) / KEY_BLOCK).alias("splits"))
-    met = rows.join(tops, "key").checkpoint()
+    earlier = Window.partitionBy("node").orderBy(F.desc("after"), "key").rowsBetween(-EARLIER_KEYS, -1)
+    met = rows.join(tops, "key").withColumn("before", F.collect_list("key").over(earlier)).checkpoint()
     zero, side = F.lit(0).cast("bigint"), F.col("label") == F.col("top")
     dealt = F.pmod(F.xxhash64("node"), F.when(side, F.col("cuts")).otherwise(F.col("splits")))
     # Side 0: the key's top label against the others. Side 1: the others among themselves.
@@ -271,23 +302,32 @@ def rare_pairs(live: DataFrame, label: DataFrame, texts: DataFrame, size: int, t
     two = met.where(~side).select(
         "key", F.col("node").alias("leader"), F.col("label").alias("leader_label"), F.col("total").alias("leader_total"),
         F.col("after").alias("leader_after"), F.col("before").alias("leader_before"), dealt.alias("split"),
-        F.inline(F.flatten(F.array(*[F.transform(F.sequence(zero, F.col(many) - 1), lambda i, s=s: F.struct(
-            F.lit(s).alias("side"), i.alias("cut"))) for s, many in ((0, "cuts"), (1, "splits"))]))))
-    wanted = threshold / (1 + threshold) * (1 - SLACK) * (F.col("total") + F.col("leader_total"))
-    pairs = one.join(two, ["key", "side", "cut", "split"]).where(
+        F.inline(F.concat(
+            F.transform(F.sequence(zero, F.col("cuts") - 1), lambda i: F.struct(F.lit(0).alias("side"), i.alias("cut"))),
+            F.transform(F.sequence(zero, F.col("splits") - 1), lambda i: F.struct(F.lit(1).alias("side"), i.alias("cut"))))))
+    wanted = enough(threshold, "total", "leader_total")
+    return one.join(two, ["key", "side", "cut", "split"]).where(
         (F.col("label") != F.col("leader_label")) & ((F.col("side") == 0) | (F.col("node") < F.col("leader")))
         & (F.col("after") >= wanted) & (F.col("leader_after") >= wanted)
-        & ~F.arrays_overlap("before", "leader_before")).select(
-        F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")).distinct()
-    return pairs.join(keys, "node").join(keys.toDF("leader", "leader_keys"), "leader").where(
-        F.arrays_overlap("keys", "leader_keys")).select("node", "leader").checkpoint()
+        & ~F.arrays_overlap("before", "leader_before")).select("node", "leader")
+
+
+def merged(label: DataFrame, found: DataFrame) -> DataFrame:
+    """Node and label, after links (node, leader) have joined classes. The classes are the nodes of that graph."""
+    for end in ("node", "leader"):
+        found = found.join(label.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end, "left").withColumn(
+            f"{end}_label", F.coalesce(f"{end}_label", end))
+    joined = components(found.select(F.col("node_label").alias("a"), F.col("leader_label").alias("b")).checkpoint())
+    lone = joined.join(label.select(F.col("node")), "node", "left_anti").select("node", "label")
+    moved = label.join(joined.toDF("label", "root"), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    return moved.unionByName(lone).checkpoint()
 
 
 def links(members: DataFrame, texts: DataFrame, size: int, threshold: float, known, sketch_bits: int) -> DataFrame:
     """Node and label of its class, where verified links join all similar nodes of a band, directly or through others.
 
-    First every node of a band is compared with one leader. Of what that leaves open, in classes of their own, all pairs that
-    may be similar are verified.
+    First every node of a band is compared with one leader. What that leaves open, in classes of their own, meets on rare
+    shingles: first with leads of each, then in all pairs that may be similar.
     """
     far = 1 - 2 * (1 - threshold)
     asked = led(members, 0).checkpoint()
@@ -302,22 +342,24 @@ def links(members: DataFrame, texts: DataFrame, size: int, threshold: float, kno
         F.max(~F.col("match") & (F.col("similarity") >= far)).alias("grey"), F.count_if(~F.col("match")).alias("open"))
     live = seen.join(state.where("low < high AND (grey OR open > 1)"), "key").where(
         ~F.col("match") | F.col("grey")).select("key", "node").checkpoint()
-    pairs = rare_pairs(live, label, texts, size, threshold, known, sketch_bits)
-    new = verified(pairs, texts, size, known).where(F.col("similarity") >= threshold).select("node", "leader")
-    # The classes so far are the nodes of the second graph, which is small.
-    for end in ("node", "leader"):
-        new = new.join(label.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end, "left").withColumn(
-            f"{end}_label", F.coalesce(f"{end}_label", end))
-    joined = components(new.select(F.col("node_label").alias("a"), F.col("leader_label").alias("b")).checkpoint())
-    lone = joined.join(label.select(F.col("node")), "node", "left_anti").select("node", "label")
-    moved = label.join(joined.toDF("label", "root"), "label", "left").select("node", F.coalesce("root", "label").alias("label"))
-    return moved.unionByName(lone).checkpoint()
+    keys = live.groupBy("node").agg(F.collect_set("key").alias("keys")).checkpoint()
+    mine = labelled(keys.select("node"), label).join(texts, "node").checkpoint()
+    met = met_rows(prefixes(mine, size, threshold, known, sketch_bits).checkpoint()).checkpoint()
+    for step in ("lead", "rest"):
+        if step == "lead":
+            pairs = lead_pairs(met, threshold)
+        else:
+            pairs = rare_pairs(labelled(met.drop("label", "lead", "second", "part"), label).checkpoint(), threshold)
+        new = verified(banded(pairs, keys), texts, size, known).where(F.col("similarity") >= threshold)
+        label = merged(label, new.select("node", "leader"))
+    return label
 
 
 def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float, bands: int, rows: int,
             sketch_bits: int, seed: int) -> DataFrame:
     """k, h, doc_id, class_id, class_size, first (the smallest k, h of its class) of every row."""
     use_shared_checkpoints(docs.sparkSession)
+    use_text_batches(docs.sparkSession)
     known = frequencies(docs, text, size, sketch_bits)
     named = keyed(docs, doc_id, text)
     each = signed(named, size, bands, rows, seed, known).checkpoint()
@@ -331,10 +373,10 @@ def classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold: float
     texts = named.select("k", "h", "text").join(involved, ["k", "h"]).groupBy("node").agg(
         F.first("text").alias("text")).checkpoint()
     label = links(members, texts, size, threshold, known, sketch_bits)
-    labelled = nodes.drop("bands").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    total = labelled.groupBy("label").agg(
+    named_nodes = labelled(nodes.drop("bands"), label)
+    total = named_nodes.groupBy("label").agg(
         F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min("r").alias("least"))
-    found = labelled.select("node", "label").join(total, "label").drop("label")
+    found = named_nodes.select("node", "label").join(total, "label").drop("label")
     alone = F.col("node").isNull()
     return each.drop("bands").join(found, "node", "left").select(
         "k", "h", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),

@@ -182,6 +182,45 @@ def test_near_copies_within_a_group_of_similar_texts(spark):
     assert got == {i: i - i % 2 if i < 2 * planted else i for i in range(n)}
 
 
+def test_rare_pairs_meet_whatever_their_labels_and_blocks(spark, monkeypatch):
+    """Twelve texts of five classes on one key: all pairs of two classes meet, and on a second key they do not meet again."""
+    label = [b"a"] * 5 + [b"b"] * 3 + [b"c"] * 2 + [b"d", b"e"]
+    nodes = [b"%02d" % i for i in range(len(label))]
+    rows = [(n, x, 10.0, 10.0 - key, key) for n, x in zip(nodes, label) for key in (0, 1)]
+    table = spark.createDataFrame(rows, "node binary, label binary, total double, after double, key bigint")
+    want = sorted((x, y) for i, x in enumerate(nodes) for j, y in enumerate(nodes) if i < j and label[i] != label[j])
+    for block in (500, 2):
+        monkeypatch.setattr(neardup, "KEY_BLOCK", block)
+        got = [sorted(map(bytes, r)) for r in neardup.rare_pairs(table, 0.8).collect()]
+        assert sorted(map(tuple, got)) == want
+
+
+def test_borderline_group_equals_all_pairs_and_few_are_verified(spark, monkeypatch):
+    """400 edits of one text, pairs about the threshold: the classes are those of all pairs, and few pairs are compared."""
+    draw = np.random.default_rng(5)
+    base = cases.prose(77, 600)
+    texts = [edited(base, draw, int(draw.integers(2, 5))) for _ in range(400)] + [cases.prose(3000 + i, 60) for i in range(100)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4, "doc_id")
+    known = neardup.frequencies(table, "text", 5, 16).value
+    _, _, shingle, doc, times = neardup.shingles(blocks.Block([t.encode() for t in texts]), 5)
+    weight = neardup.weights(shingle, times, known)
+    sets = []
+    for i in range(len(texts)):
+        order = np.argsort(shingle[doc == i])
+        sets.append((shingle[doc == i][order], weight[doc == i][order]))
+    want = list(range(len(texts)))
+    links = [(i, j) for i in range(400) for j in range(i) if neardup.weighted_jaccard(sets[i], sets[j]) >= 0.8]
+    for i, j in links:
+        a, b = sorted((want[i], want[j]))
+        want = [a if x == b else x for x in want]
+    compared, real = [], neardup.verified
+    monkeypatch.setattr(neardup, "verified", lambda pairs, *a: (compared.append(pairs.count()), real(pairs, *a))[1])
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(table).collect()}
+    assert got == dict(enumerate(want))
+    assert len(links) > 2_000
+    assert sum(compared[1:]) < 4 * 400
+
+
 def test_samples_agree_as_often_as_the_sets_do():
     draw = np.random.default_rng(4)
     a = draw.integers(0, 1 << 63, 300).astype(np.uint64)
