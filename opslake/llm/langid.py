@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from opslake.llm.blocks import Block, blocks, encoded
 from opslake.llm.marks import rows_as
+from opslake.session import use_text_batches
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN, BREAK = 1, 2
@@ -168,6 +169,7 @@ def identify(docs: DataFrame, train_docs: DataFrame, doc_id: str = "doc_id", tex
     A null text, one without a letter, and any text when there are no labels are ``und`` with score 0 and no rate.
     Ties go to the language with more documents. Repeated rows and null ids are kept; other columns are not read.
     """
+    use_text_batches(docs.sparkSession)
     known = Languages.learn(labelled_samples(train_docs, doc_id, text, lang, sample_rows, sample_chars), sample_symbols)
     shared = docs.sparkSession.sparkContext.broadcast(known)
 

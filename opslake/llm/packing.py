@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from opslake.llm.blocks import encoded
 from opslake.llm.token_counts import BYTE_CHARS
+from opslake.session import use_text_batches
 
 #: Outside these, lower case, normal form or classes may differ from the library's; such texts go to it whole.
 UNSURE = regex.compile(r"[^\x00-\u02FF\u2010-\u2027]")
@@ -78,6 +79,8 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     ``ids`` are little-endian unsigned 32-bit numbers; each document ends with ``end_id``, so a null or empty text
     is one piece of length 1. Repeated rows and null ids give their own pieces. Other columns are not read.
     """
+    use_text_batches(docs.sparkSession)
+
     def encode(batches):
         ids_of, end = worker_ids(tokenizer, cache_size), np.array([end_id], "<u4").tobytes()
         step = 4 * capacity

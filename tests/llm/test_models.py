@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from llm import cases
-from opslake.llm import decontam, langid, packing, queries, suffix_tree
+from opslake.llm import decontam, langid, neardup, packing, queries, suffix_tree
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.001"
@@ -182,6 +183,23 @@ def test_pretokens_equal_the_pattern_on_every_sure_character():
             assert packing.PRETOKEN.findall(text) == whole.findall(text), hex(ord(c))
 
 
+def test_texts_come_in_small_batches(spark):
+    """Encoding, language and near-duplicate steps hold few texts at once, whatever the session's batch size was."""
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(i, "some words", "en") for i in range(3000)], "doc_id bigint, text string, lang string").coalesce(1)
+    steps = [lambda: packing.encode_pieces(docs, WORDS), lambda: langid.identify(docs, docs), lambda: neardup.near_duplicates(docs)]
+    for step in steps:
+        spark.conf.unset(key)
+        table = step()
+        assert int(spark.conf.get(key)) <= 1000
+        if "piece" in table.columns:
+            assert max(r.n for r in table.mapInArrow(rows, "n bigint").collect()) <= 1000
+
+
 def verdicts(spark, texts, items, **options):
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     b = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
