@@ -89,6 +89,29 @@ def test_a_large_group_costs_comparisons_in_proportion(spark, monkeypatch):
     assert sum(compared[len(compared) // 2:]) < 6 * sum(compared[:len(compared) // 2])
 
 
+def test_short_texts_meet_and_only_sets_that_met_are_stored_whole(spark, monkeypatch):
+    """Sets with few shingles in the common part, texts without a match, and the rows of the whole sets that were kept."""
+    draw = random.Random(9)
+    word = lambda: f"w{draw.randrange(10**6)}"
+    texts = []
+    for n in (5, 6, 8, 9, 10, 12, 14, 20) * 12:
+        base = [word() for _ in range(n + 4)]
+        texts += [" ".join(base), " ".join(base + [word()])]  # n and n + 1 shingles: n / (n + 1) is near from n = 4 on
+    lone = [" ".join(word() for _ in range(80)) for _ in range(400)]
+    texts = dict(enumerate(texts + lone))
+    paths = []
+    real = similar.shared_dir
+    monkeypatch.setattr(similar, "shared_dir", lambda spark, name: paths.append(real(spark, name)) or paths[-1])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: (r.representative, r.score) for r in similar.near_duplicates(docs).collect()}
+    want = plain_groups(texts)
+    assert {i: r for i, (r, _) in got.items()} == {i: r for i, (r, _) in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 1e-12 for i in texts)
+    assert sum(r != i for i, (r, _) in want.items()) == 96
+    whole = [p for p in paths if "/sets-" in p]
+    assert whole and sum(spark.read.parquet(p).count() for p in whole) == 192
+
+
 @pytest.mark.parametrize("share", [1e-4, 0.3, 1.0])
 def test_lookup_is_a_join_whatever_counts_as_hot(spark, share):
     rows = spark.range(1000).select((F.col("id") % 7 * F.when(F.col("id") % 2 == 0, 0).otherwise(1)).alias("k"), "id")
