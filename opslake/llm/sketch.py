@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -29,11 +30,25 @@ def seen_twice(bitmaps: list[np.ndarray], keys: np.ndarray, bits: int) -> np.nda
     return out
 
 
+def opened(slices: list[list[bytes]]) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(map(zlib.decompress, row)), np.uint8) for row in slices]
+
+
+class Packed:
+    """Bitmaps in compressed slices, so that the driver holds and sends few bytes; whoever receives them has plain arrays."""
+
+    def __init__(self, slices: list[list[bytes]]):
+        self.slices = slices
+
+    def __reduce__(self):
+        return opened, (self.slices,)
+
+
 def count_min(docs: DataFrame, text: str, keys_of: Callable[[Block], np.ndarray], bits: int) -> Broadcast:
     """Which cells of the merged sketch were hit twice or more, one bitmap for each row.
 
     ``keys_of`` gives the keys of a block of texts, one for each occurrence. What is shared has len(ROWS) * 2**bits
-    bits, whatever the input. Partial sketches are sent sparsely, each cell once for a block, with counters that stop
+    bits at most, whatever the input; runs of empty cells take little. Partial sketches are sent sparsely, each cell once for a block, with counters that stop
     at two.
     """
     slices = 1 << max(0, bits - SLICE_BITS)
@@ -67,13 +82,13 @@ def count_min(docs: DataFrame, text: str, keys_of: Callable[[Block], np.ndarray]
                     total[at] = np.minimum(total[at] + 1, 2)
         for (row, s), total in totals.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row], pa.int32()), pa.array([s], pa.int32()), pa.array([np.packbits(total > 1).tobytes()])],
+                [pa.array([row], pa.int32()), pa.array([s], pa.int32()), pa.array([zlib.compress(np.packbits(total > 1), 1)])],
                 ["row", "slice", "bits"])
 
     sparse = docs.select(text).mapInArrow(partial, "row int, slice int, cells binary, again binary")
     merged = sparse.repartition("row", "slice").mapInArrow(merge, "row int, slice int, bits binary")
-    bitmaps = [np.zeros(slices * width // 8 or 1, np.uint8) for _ in ROWS]
+    empty = zlib.compress(bytes(width // 8 or 1), 1)
+    bitmaps = [[empty] * slices for _ in ROWS]
     for r in merged.toLocalIterator():
-        part = np.frombuffer(r.bits, np.uint8)
-        bitmaps[r.row][r.slice * len(part):(r.slice + 1) * len(part)] = part
-    return docs.sparkSession.sparkContext.broadcast(bitmaps)
+        bitmaps[r.row][r.slice] = bytes(r.bits)
+    return docs.sparkSession.sparkContext.broadcast(Packed(bitmaps))

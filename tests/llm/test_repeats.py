@@ -33,6 +33,16 @@ def test_words_of_a_block():
     assert [words.text(i) for i in range(len(words.start))] == [w for t in texts for w in t.split()]
 
 
+def test_sketch_of_a_small_corpus_is_sent_in_few_bytes(spark):
+    """2 * 2**27 bits are 32 MB; the driver holds and sends them packed, and tasks have them whole."""
+    table = spark.createDataFrame([(i, f"a{i % 9} b{i} c") for i in range(300)], "doc_id bigint, text string")
+    shared = sketch.count_min(table, "text", lambda block: block.words().hashes(), 27)
+    with open(shared._path, "rb") as sent:
+        assert len(sent.read()) < 1_000_000
+    sizes = spark.sparkContext.parallelize([0], 1).map(lambda _: [len(row) for row in shared.value]).first()
+    assert sizes == [1 << 24] * len(sketch.ROWS)
+
+
 def test_sketch_loses_nothing(spark):
     texts = [f"{i % 70} {i}" for i in range(100)]
     table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
