@@ -169,3 +169,17 @@ def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indexes of the given stretches, one after the other."""
     ends = np.cumsum(sizes)
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The stretches of ``values`` between the cuts, first to last, as binary values."""
+    values = np.ascontiguousarray(values)
+    offsets = (np.asarray(cuts) * values.strides[0]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def unpacked(column: pa.Array, kind: type) -> np.ndarray:
+    """The bytes of binary values without nulls, one after the other, as numbers."""
+    column = column.cast(pa.binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].view(kind)

@@ -1,13 +1,14 @@
 """Removal of byte strings that also start earlier, by a column-wise Burrows-Wheeler transform of many segments.
 
-Strings of ``length`` bytes can only be equal if their anchors are: the smallest hash of ``GRAM`` bytes inside. A count-min
-sketch drops anchors that occur once. Around each other anchor lies a segment: the bytes of all strings that have it.
+Strings of ``length`` bytes can only be equal if their anchors are: the smallest hash of ``GRAM`` bytes inside. A shared
+filter drops anchors that occur once. Around each other anchor lies a segment: the bytes of all strings that have it.
 The segments of a bucket are laid out with their anchors in one column, so equal strings start in the same column.
 Then, from the last column to the first, one symbol of every segment is inserted: a stable sort by that symbol turns the
 order of the suffixes right of it into the order of the suffixes that begin with it, which is what an insertion into
 the collection's transform does, and common prefixes follow as one more than the least between the old neighbours. Where
 a common prefix reaches ``length``, neighbours begin with the same string, and all but the earliest are marked.
-Columns are sequential files that are written once and read once.
+Equal segments of a bucket are one segment of the collection, the earliest; those that are alone with their anchor are
+left out. Columns are sequential files that are written once and read once.
 """
 
 from __future__ import annotations
@@ -20,15 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslake.llm.blocks import Block, anchors, blocks, encoded, gather, prefix_hash, runs, span_hash, window_hash
-from opslake.llm.marks import (
-    FIRST_LOT, MARKS, keyed, mark_rows, marked, passed_on, rows_as, settled_rows, with_marks)
+from opslake.llm.blocks import (
+    BLOCK_BYTES, Block, anchors, blocks, encoded, gather, packed, prefix_hash, runs, span_hash, unpacked, window_hash)
+from opslake.llm.marks import FIRST_LOT, MARKS, keyed, mark_rows, marked, rows_as, settled_rows, with_marks
 from opslake.llm.sketch import count_min, seen_twice
 
 GRAM = 36
 #: Stands for "no symbol here"; no byte of UTF-8 has this value.
 NONE = 255
 PART = "bucket int, owners binary, places binary, bytes binary, marks binary"
+#: Whole buckets are taken together up to about so many segments.
+SEGMENTS = 50_000
 
 
 def anchored(block: Block, length: int):
@@ -96,6 +99,42 @@ class ColumnFiles:
         return np.fromfile(os.path.join(self.folder.name, str(c)), np.uint8)
 
 
+def lots(sizes: np.ndarray, most: int = BLOCK_BYTES) -> list[np.ndarray]:
+    """Segments by number, in parts of about so many bytes."""
+    return np.array_split(np.arange(len(sizes)), max(1, int(sizes.sum()) // most))
+
+
+def merged(body: np.ndarray, place: np.ndarray, rank: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each segment the earliest equal one, and which of these share their anchor with another one.
+
+    ``body`` holds the segments' bytes in turn, ``place`` their start, first column and number of strings; ``rank`` orders
+    them. Segments are equal if their columns and bytes are.
+    """
+    lead = length - GRAM
+    sizes = place[:, 2] + length - 1
+    begin = np.cumsum(sizes) - sizes
+    whole, anchor = np.empty(len(place), np.uint64), np.empty(len(place), np.uint64)
+    for lot in lots(sizes):
+        a = begin[lot] - begin[lot[0]]
+        prefix = prefix_hash(body[begin[lot[0]]:begin[lot[-1]] + sizes[lot[-1]]])
+        whole[lot] = span_hash(prefix, a, a + sizes[lot])
+        at = a + lead - place[lot, 1]
+        anchor[lot] = span_hash(prefix, at, at + GRAM)
+    order = np.lexsort((rank, whole, place[:, 2], place[:, 1]))
+    same = np.append(False, (whole[order[1:]] == whole[order[:-1]]) & (place[order[1:], 1:] == place[order[:-1], 1:]).all(axis=1))
+    for lot in lots(np.where(same, sizes[order], 0)):
+        later = lot[same[lot]]
+        if len(later):
+            size = sizes[order[later]]
+            equal = body[gather(begin[order[later]], size)] == body[gather(begin[order[later - 1]], size)]
+            same[later] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+    first = np.empty(len(order), np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    lone = order[~same]
+    _, which, times = np.unique(anchor[lone], return_inverse=True, return_counts=True)
+    return first, np.sort(lone[times[which] > 1])
+
+
 def repeated_strings(docs: DataFrame, length: int, bits: int, buckets: int) -> DataFrame:
     """Marks of every string that also starts earlier."""
     shared = count_min(docs, "text", anchor_keys(length), bits)
@@ -130,56 +169,78 @@ def repeated_strings(docs: DataFrame, length: int, bits: int, buckets: int) -> D
             pick = np.sort(order[new])
             bucket = (grams[a[pick]] % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            out = ([], [], [], [])
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                i = pick[by[cuts[b]:cuts[b + 1]]]
-                owners = np.stack([k[doc[i]], h[doc[i]]], axis=1)
-                places = np.stack([s[i] - block.starts[doc[i]], column[i], count[i]], axis=1).astype(np.int32)
-                body = block.data[gather(s[i], count[i] + length - 1)]
-                for rows, value in zip(out, (b, owners.tobytes(), places.tobytes(), body.tobytes())):
-                    rows.append(value)
+            i, bucket = pick[by], bucket[by]
+            cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(i))
+            size = count[i] + length - 1
+            owners = np.stack([k[doc[i]], h[doc[i]]], axis=1)
+            places = np.stack([s[i] - block.starts[doc[i]], column[i], count[i]], axis=1).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:]),
-                 pa.nulls(len(out[0]), pa.binary())], ["bucket", "owners", "places", "bytes", "marks"])
-
-    def transform(batches):
-        files, owners, places = ColumnFiles(lead + length), [], []
+                [pa.array(bucket[cuts[:-1]], pa.int32()), packed(owners, cuts), packed(places, cuts),
+                 packed(block.data[gather(s[i], size)], np.append(0, np.cumsum(size))[cuts]),
+                 pa.nulls(len(cuts) - 1, pa.binary())], ["bucket", "owners", "places", "bytes", "marks"])
+
+    def transformed(parts):
+        owner = np.concatenate([unpacked(p.column(1), np.int64) for p in parts]).reshape(-1, 2)
+        place = np.concatenate([unpacked(p.column(2), np.int32) for p in parts]).reshape(-1, 3).astype(np.int64)
+        body = np.concatenate([unpacked(p.column(3), np.uint8) for p in parts])
+        # Rank of a segment: its document, then where its anchor stands; equal for the twins of repeated rows.
+        anchor = place[:, 0] - place[:, 1]
+        by = np.lexsort((anchor, owner[:, 1], owner[:, 0]))
+        step = np.any(np.diff(np.stack([owner[by, 0], owner[by, 1], anchor[by]]), axis=1) != 0, axis=0)
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.append(0, np.cumsum(step))
+        first, kept = merged(body, place, rank, length)
+        late = np.flatnonzero(rank != rank[first])
+        for lot in lots(place[late, 2]):
+            i = late[lot]
+            d = np.repeat(i, place[i, 2])
+            yield mark_rows(owner[d, 0], owner[d, 1], gather(place[i, 0], place[i, 2]), buckets)
+        if not len(kept):
+            return
+        size = place[:, 2] + length - 1
+        begin = np.cumsum(size) - size
+        files = ColumnFiles(lead + length)
         with files.folder:
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    if (bucket := batch.column(0)[i].as_py()) >= FIRST_LOT:
-                        yield passed_on(bucket, batch.column(4)[i])
-                        continue
-                    place = np.frombuffer(batch.column(2)[i].as_py(), np.int32).reshape(-1, 3).astype(np.int64)
-                    body = np.frombuffer(batch.column(3)[i].as_py(), np.uint8)
-                    rows = np.full((len(place), lead + length), NONE, np.uint8)
-                    size = place[:, 2] + length - 1
-                    flat = gather(np.arange(len(place)) * rows.shape[1] + place[:, 1], size)
-                    rows.reshape(-1)[flat] = body
-                    files.add(rows)
-                    owners.append(np.frombuffer(batch.column(1)[i].as_py(), np.int64).reshape(-1, 2))
-                    places.append(place)
+            for lot in lots(size[kept]):
+                i = kept[lot]
+                rows = np.full((len(i), lead + length), NONE, np.uint8)
+                flat = gather(np.arange(len(i)) * rows.shape[1] + place[i, 1], size[i])
+                rows.reshape(-1)[flat] = body[gather(begin[i], size[i])]
+                files.add(rows)
             files.close_for_reading()
-            if not owners:
-                return
-            owner, place = np.concatenate(owners), np.concatenate(places)
-            # Rank of a segment: its document, then where its anchor stands; equal for the twins of repeated rows.
-            anchor = place[:, 0] - place[:, 1]
-            by = np.lexsort((anchor, owner[:, 1], owner[:, 0]))
-            step = np.any(np.diff(np.stack([owner[by, 0], owner[by, 1], anchor[by]]), axis=1) != 0, axis=0)
-            rank = np.empty(len(by), np.int64)
-            rank[by] = np.append(0, np.cumsum(step))
-            earlier = column_classes(files, rank, lead, length)
-        for lot in np.array_split(np.arange(len(rank)), max(1, len(rank) // 50_000)):
+            earlier = column_classes(files, rank[kept], lead, length)
+        for lot in np.array_split(np.arange(len(kept)), max(1, len(kept) // 50_000)):
             column, i = np.nonzero(earlier[:, lot])
-            i = lot[i]
+            i = kept[lot[i]]
             inside = (column >= place[i, 1]) & (column < place[i, 1] + place[i, 2])
             i, column = i[inside], column[inside]
             yield mark_rows(owner[i, 0], owner[i, 1], place[i, 0] + column - place[i, 1], buckets)
 
+    def transform(batches):
+        parts, n, last = [], 0, None
+        for batch in batches:
+            bucket = np.asarray(batch.column(0))
+            settled = bucket >= FIRST_LOT
+            if settled.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[settled] - FIRST_LOT, pa.int32()), batch.column(4).filter(pa.array(settled))],
+                    ["lot", "marks"])
+                # Buckets come in order, so lots of marks are behind them.
+                batch = batch.slice(0, int(settled.argmax()))
+                bucket = bucket[:batch.num_rows]
+            head = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
+            for a, b in zip(head.tolist(), np.append(head[1:], len(bucket)).tolist()):
+                if n >= SEGMENTS and bucket[a] != last:
+                    yield from transformed(parts)
+                    parts, n = [], 0
+                part, last = batch.slice(a, b - a), bucket[a]
+                parts.append(part)
+                n += len(unpacked(part.column(2), np.int32)) // 3
+        if parts:
+            yield from transformed(parts)
+
     sent = docs.select("k", "h", "text").mapInArrow(segments, PART)
-    return sent.repartition("bucket").mapInArrow(transform, MARKS)
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(transform, MARKS)
 
 
 def remove_earlier(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", text: str = "text", bits: int = 27

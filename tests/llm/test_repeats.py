@@ -54,6 +54,41 @@ def test_sketch_loses_nothing(spark):
         assert sketch.seen_twice(found, h, bits)[twice].all()
 
 
+def test_filter_passes_few_keys_that_occur_once(spark):
+    """20,000 anchors of one place each in 4,096 cells a row, and 150 of two: the share that passes is near the true one."""
+    draw = np.random.default_rng(6)
+    once = ["".join(map(chr, draw.integers(97, 123, 8))) for _ in range(20_000)]
+    twice = [f"twice{i}" for i in range(150)]
+    texts = [" ".join(once[i::40] + twice[i % 2::2]) for i in range(40)]
+    texts = [t if i < 4 else " ".join(w for w in t.split() if "twice" not in w) for i, t in enumerate(texts)]
+    table = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+
+    def anchors_of(block):
+        return np.minimum(block.words().hashes(), block.words().hashes(salt=9))
+
+    found = sketch.count_min(table, "text", anchors_of, 12).value
+    h = np.unique(anchors_of(blocks.Block([t.encode() for t in texts])))
+    assert len(h) > 20_000
+    passed = sketch.seen_twice(found, h, 12).sum()
+    assert 150 <= passed < 150 + 0.02 * len(h)
+
+
+def test_equal_segments_are_one_and_lone_ones_are_left_out():
+    """Segments of 15 strings of 50 bytes: equal ones have one first, and only varied anchors are kept."""
+    draw = np.random.default_rng(3)
+    length, lead, column, count = 50, 14, 0, 15
+    variants = [draw.integers(97, 99, lead + length).astype(np.uint8) for _ in range(40)]
+    for v in range(1, 20, 2):  # ten pairs share an anchor and differ elsewhere
+        variants[v][lead:lead + suffix.GRAM] = variants[v - 1][lead:lead + suffix.GRAM]
+    pick = draw.integers(0, len(variants), 400)
+    rank = draw.permutation(400)
+    place = np.array([(7 * i, column, count) for i in range(400)])
+    first, kept = suffix.merged(np.concatenate([variants[v] for v in pick]), place, rank, length)
+    earliest = {v: min(np.flatnonzero(pick == v), key=lambda i: rank[i]) for v in pick.tolist()}
+    assert first.tolist() == [earliest[v] for v in pick.tolist()]
+    assert kept.tolist() == sorted(i for v, i in earliest.items() if v < 20)
+
+
 def ordered(rows):
     """Rows in the order of remove_earlier, each repeated row once."""
     return sorted({(LEAST if i is None else i, t) for i, t in rows}, key=lambda r: r[0])
