@@ -152,3 +152,20 @@ def test_reach_does_not_store_its_last_round(spark, monkeypatch):
     monkeypatch.setattr(kind, "checkpoint", lambda self, *args, **given: stored.append(1) or checkpoint(self, *args, **given))
     got = graph.reach(frame.where("src = 'a'"), frame, 2).collect()
     assert {(r.node, r.distance) for r in got} == {("b", 1), ("c", 2)} and len(stored) == 2
+
+
+def test_reach_shuffles_no_pairs(spark):
+    """Each of 40 seeds has 5 hubs, each hub 200 nodes: lists are dealt out by lot, never 40,000 pairs by (seed, node)."""
+    edges = [(f"s{i}", f"h{(i + k) % 20}") for i in range(40) for k in range(5)]
+    edges += [(f"h{j}", f"n{(31 * j + m) % 500}") for j in range(20) for m in range(200)]
+    frame = spark.createDataFrame(edges, "src string, dst string")
+    got = graph.reach(frame.where("src like 's%'"), frame, 2)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_lot" in plan and "hashpartitioning(seed" not in plan
+    nexts = {}
+    for a, b in edges:
+        nexts.setdefault(a, set()).add(b)
+    want = {(s, h, 1) for s in nexts if s[0] == "s" for h in nexts[s]}
+    want |= {(s, n, 2) for s, h, _ in want for n in nexts[h]}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
